@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seasonstar.functions.numeric import from_units, round_half_away, threshold_flag, to_units
 from seasonstar.operators.rollups import daily_area_mean, weekly_amounts, with_iso_week
@@ -22,8 +23,15 @@ FULL_DAYS = 20
 LEVEL_CAPACITY = 500_000.0
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. Its schema is read from the files once; later reads need no job for it."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:

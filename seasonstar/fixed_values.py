@@ -49,3 +49,33 @@ METRIC_AMOUNT_4W = "precip_4w"
 DIRECTION_UP = "Økning"
 DIRECTION_DOWN = "Nedgang"
 DIRECTION_AMOUNT = "Nedbør"
+
+# Layout of the landing folder and the seed folder.
+LEVEL_FILE = "nve/magasin.json"
+BENCHMARK_FILE = "nve/minmaxmedian.json"
+AREA_FILE = "nve/omrader.json"
+GRID_FILES = "nve_gts/*.json"
+STATION_FILE = "frost/sources.json"
+OBSERVATION_FILES = "frost/observations/*.json"
+POINT_SEED_FILE = "precip_points.csv"
+STATION_SEED_FILE = "station_area.csv"
+
+# Column order of the exported series.
+EXPORT_COLUMNS = {
+    "weekly": [
+        "week_end_date", "iso_year", "iso_week", "fill_pct", "fill_twh", "capacity_twh", "week_change_pp",
+        "hist_min_pct", "hist_median_pct", "hist_max_pct", "precip_week_mm",
+    ],
+    "monthly": ["year", "month", "precip_mm", "normal_mm", "wet_days", "max_day_mm", "is_partial_month"],
+    "yearly": [
+        "year", "avg_fill_pct", "max_fill_pct", "max_fill_week", "min_fill_pct", "min_fill_week",
+        "max_week_increase_pp", "max_week_decrease_pp", "total_precip_mm", "max_day_precip_mm",
+        "max_day_precip_date", "wet_days", "precip_ytd_mm", "precip_ytd_yoy_pct", "avg_fill_yoy_pp",
+    ],
+    "changes": [
+        "metric", "iso_year", "iso_week", "window_start", "week_end_date", "value", "rank_in_year", "rank_all_time",
+    ],
+}
+EXPORT_AREA_COLUMNS = [
+    "code", "name", "long_name", "description", "station", "station_id", "elevation_m", "precip_source",
+]

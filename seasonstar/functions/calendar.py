@@ -111,3 +111,9 @@ def dim_date(spark: SparkSession, d0: Column | date, as_of: date, **labels) -> D
     """Conformed date dimension from six days before `d0` to the end of the year of `as_of`."""
     lo = F.date_sub(d0, 6) if isinstance(d0, Column) else F.lit(d0 - timedelta(days=6))
     return with_calendar(date_spine(spark, lo, date(as_of.year, 12, 31)), **labels)
+
+
+def date_of_key(key: Column | str) -> Column:
+    """The date of a yyyymmdd key."""
+    key = _col(key)
+    return F.make_date(F.floor(key / 10000).cast("int"), (F.floor(key / 100) % 100).cast("int"), key % 100)

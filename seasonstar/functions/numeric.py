@@ -11,26 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MEAN_SCALE = 6
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def _units_of_magnitude(c: Column, n: int) -> Column:
-    scaled = F.abs(c) * F.lit(float(10**n))
-    whole = F.floor(scaled)
-    return whole + F.when(scaled - whole >= 0.5, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+    """|c| * 10^n rounded to a long, halves up: half of floor(2y) + 1, in which doubling is exact."""
+    return F.shiftright(F.floor(F.abs(c) * (2.0 * 10**n)) + 1, 1)
 
 
 def to_units(c: Column | str, scale: int) -> Column:
     """`c * 10^scale` as a long, halves rounded away from zero."""
     c = _col(c)
-    units = _units_of_magnitude(c, scale)
-    return F.when(c < 0, -units).otherwise(units)
+    return F.signum(c).cast("long") * _units_of_magnitude(c, scale)
 
 
 def from_units(units: Column | str, scale: int) -> Column:
-    return _col(units).cast("double") / F.lit(float(10**scale))
+    return _col(units) / float(10**scale)
 
 
 def round_half_away(c: Column | str, n: int) -> Column:
@@ -39,8 +39,8 @@ def round_half_away(c: Column | str, n: int) -> Column:
     Spark's own `round` works on the decimal rendering of a double (1.005 -> 1.01 at two digits), while
     this rounds the stored value (1.005 is slightly below the half, so 1.0).
     """
-    c = _col(c).cast("double")
-    return F.signum(c) * _units_of_magnitude(c, n) / F.lit(float(10**n))
+    c = _col(c)
+    return F.signum(c) * _units_of_magnitude(c, n) / float(10**n)
 
 
 def pct_change(cur: Column | str, prev: Column | str) -> Column:
@@ -70,6 +70,17 @@ def exact_sum(c: Column | str, scale: int) -> Column:
     return from_units(F.sum(to_units(c, scale)), scale)
 
 
+def sum_of_means(c: Column | str, digits: int) -> Column:
+    """Aggregate: rounded sum of computed values, such as means, that have no last digit.
+
+    Each value counts with MEAN_SCALE digits. The sum is rounded three digits further than asked before
+    the last rounding, so that thirds which add up to a half are rounded as a half. The units are added
+    as decimals, which leaves room for large values.
+    """
+    total = F.sum(to_units(c, MEAN_SCALE).cast("decimal(20,0)")).cast("double") / float(10**MEAN_SCALE)
+    return round_half_away(round_half_away(total, digits + 3), digits)
+
+
 def exact_mean(c: Column | str, scale: int) -> Column:
     """Aggregate: `exact_sum` divided by the number of non-NULL values."""
     c = _col(c)

@@ -51,8 +51,8 @@ def literal_row(like: DataFrame, row: dict) -> DataFrame:
     return like.sparkSession.range(1).select(*cols)
 
 
-def area_dim(areas: DataFrame, total_row: dict | None, order: str = "sort_order", name: str = "area_key") -> DataFrame:
-    """Areas plus the total member, numbered in sort order (ties by all columns)."""
+def area_dim(areas: DataFrame, total_row: dict | None = None, order: str = "sort_order", name: str = "area_key") -> DataFrame:
+    """Areas, with the total member if one is given, numbered in sort order (ties by all columns)."""
     rows = areas if total_row is None else areas.unionByName(literal_row(areas, total_row))
     ties = [c for c in sorted(areas.columns) if c != order]
     return surrogate_key(rows, [F.col(c).asc_nulls_last() for c in [order, *ties]], name)

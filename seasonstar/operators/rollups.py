@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonstar.functions.calendar import date_key, iso_week, iso_week_end, iso_year
-from seasonstar.functions.numeric import exact_mean, exact_sum, round_half_away, threshold_flag
+from seasonstar.functions.numeric import exact_mean, exact_sum, round_half_away, sum_of_means, threshold_flag
 
 
 def with_total(df: DataFrame, time_keys: list[str], area_col: str, total_value, aggs: Mapping[str, Column]) -> DataFrame:
@@ -96,16 +96,12 @@ def daily_area_mean(
     return daily.groupBy(area_col, date_col).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
-# Daily means are computed values; their sums are taken at this many digits.
-MEAN_SCALE = 6
-
-
 def monthly_amounts(daily_area: DataFrame, keys: list[str], date_col: str = "obs_date") -> DataFrame:
     """Monthly total, wet days, largest day and number of days of an area's daily means."""
     months = daily_area.withColumns({"year": F.year(date_col), "month": F.month(date_col)})
     return months.groupBy(*keys, "year", "month").agg(
-        round_half_away(exact_sum("precip_mm", MEAN_SCALE), 1).alias("precip_mm"),
-        round_half_away(exact_sum("wet_day_share", MEAN_SCALE), 0).alias("wet_days"),
+        sum_of_means("precip_mm", 1).alias("precip_mm"),
+        sum_of_means("wet_day_share", 0).alias("wet_days"),
         F.max("precip_mm").alias("max_day_mm"),
         F.count("*").alias("days_with_data"),
     )

@@ -14,9 +14,9 @@ from seasonstar.fixed_values import (
 )
 from seasonstar.functions.aggregates import arg_max, arg_min, last_by
 from seasonstar.functions.calendar import date_key
-from seasonstar.functions.numeric import exact_mean, exact_sum, pct_change, round_half_away
+from seasonstar.functions.numeric import exact_mean, pct_change, round_half_away, sum_of_means
 from seasonstar.operators.extremes import change_direction, change_windows, melt_metrics, rank_lenses, record
-from seasonstar.operators.rollups import MEAN_SCALE, monthly_amounts
+from seasonstar.operators.rollups import monthly_amounts
 from seasonstar.operators.series import (
     gap_safe_diff, lag_diff, period_normal, prior_lookup, prior_period, rolling_sum, yoy_by_lag,
 )
@@ -101,11 +101,11 @@ def yearly_amounts(daily_area: DataFrame, area: str = "area_code", date_col: str
     day = F.col(date_col)
     so_far = F.when(F.dayofyear(day) <= F.dayofyear(last), F.col("precip_mm"))
     return daily_area.groupBy(area, F.year(day).alias("year")).agg(
-        round_half_away(exact_sum("precip_mm", MEAN_SCALE), 0).alias("total_precip_mm"),
+        sum_of_means("precip_mm", 0).alias("total_precip_mm"),
         round_half_away(F.max("precip_mm"), 1).alias("max_day_precip_mm"),
         arg_max(day, F.col("precip_mm"), day).alias("max_day_precip_date"),
-        round_half_away(exact_sum("wet_day_share", MEAN_SCALE), 0).alias("wet_days"),
-        round_half_away(exact_sum(so_far, MEAN_SCALE), 0).alias("precip_ytd_mm"),
+        sum_of_means("wet_day_share", 0).alias("wet_days"),
+        sum_of_means(so_far, 0).alias("precip_ytd_mm"),
     )
 
 
