@@ -14,12 +14,14 @@ def local_session(cpus: str | None = None, **extra: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("seasonstar")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="seasonstar-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="seasonstar-warehouse-"))
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

@@ -232,3 +232,13 @@ def test_counts_and_source_choice(spark, built, tmp_path):
     assert only["dw.dim_station"].count() == 3
     with pytest.raises(ValueError):
         star.build(spark, landing, str(tmp_path / "seeds"), AS_OF, sources={"other"})
+
+
+def test_publish(spark, built):
+    star.publish(spark, built)
+    joined = spark.sql(
+        """SELECT a.area_code, max(f.precip_mm) AS wettest FROM dw.fact_precipitation_weekly f
+           JOIN dw.dim_area a USING (area_key) GROUP BY ALL"""
+    )
+    reported = spark.sql("SELECT area_code, max(precip_week_mm) FROM rpt.reservoir_trend GROUP BY ALL")
+    assert {r[0] for r in joined.collect()} == {r[0] for r in reported.collect()}
