@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonstar.functions.numeric import from_units, round_half_away, threshold_flag, to_units
+from seasonstar.operators.joins import lookup
 from seasonstar.operators.rollups import daily_area_mean, weekly_amounts, with_iso_week
 from seasonstar.plans.reports import level_fact, trend
-from seasonstar.sources.scratch import freeze
+from seasonstar.sources.scratch import freeze_if_possible
 
 TOTAL = "ALL"
 WET_AMOUNT = 200_000.0
@@ -56,11 +57,13 @@ def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     days = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey", "obs_date")
+        .groupBy(F.col("c_nationkey").alias("n_nationkey"), "obs_date")
         .agg(F.sum("cents").alias("cents"), F.count("*").alias("n_orders"))
     )
-    return days.join(areas(spark, sf), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "station", "area_code", "obs_date", "cents", "n_orders"
+    nation = table(spark, sf, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    named = lookup(lookup(days, nation, "n_nationkey"), table(spark, sf, "region"), "r_regionkey")
+    return named.select(
+        F.col("n_name").alias("station"), F.col("r_name").alias("area_code"), "obs_date", "cents", "n_orders"
     )
 
 
@@ -107,4 +110,4 @@ def trends(days: DataFrame) -> DataFrame:
 
 def frozen_days(spark: SparkSession, sf: str) -> DataFrame:
     """`daily_orders` written once, for queries whose parts would each scan and join the raw rows."""
-    return freeze(daily_orders(spark, sf), "days")
+    return freeze_if_possible(daily_orders(spark, sf), "days")

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from seasonstar.catalogue.base import FULL_DAYS, amounts, area_days, areas, daily_orders, levels, table
+from seasonstar.catalogue.base import FULL_DAYS, WET_AMOUNT, amounts, area_days, areas, daily_orders, levels, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
 from seasonstar.functions.aggregates import any_present
@@ -15,7 +15,7 @@ from seasonstar.functions.calendar import (
 )
 from seasonstar.functions.numeric import clamp_floor as clamp
 from seasonstar.functions.numeric import round_half_away, sentinel_to_null
-from seasonstar.functions.text import area_code, part_of, pick
+from seasonstar.functions.text import area_code, part_of, pick, register_area_code
 from seasonstar.operators.extremes import change_windows as windows
 from seasonstar.operators.staging import nested_observations, series_from_array
 from seasonstar.operators.rollups import daily_amount_fact
@@ -59,6 +59,18 @@ def area_code_map(spark, sf):
     return named.select("c_custkey", area_code("area_code", "n_nationkey", CODES).alias("code"))
 
 
+@query(
+    """SELECT c_custkey, CASE r_name WHEN 'AFRICA' THEN 'NO' || CAST(n_nationkey AS VARCHAR)
+                                     WHEN 'ASIA' THEN 'NOR' END AS code
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+)
+def area_code_in_sql(spark, sf):
+    """The same mapping as a function of SQL users."""
+    register_area_code(spark, CODES)
+    named = table(spark, sf, "customer").join(areas(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.selectExpr("c_custkey", "area_code(area_code, n_nationkey) AS code")
+
+
 @query(
     """SELECT d AS day,
               ['Vinter','Vår','Sommer','Høst'][1 + CAST(floor((month(d) % 12) / 3) AS INTEGER)] AS season,
@@ -78,8 +90,6 @@ def season_hydro_year(spark, sf):
     )
 )
 def wet_day_flag(spark, sf):
-    from seasonstar.catalogue.base import WET_AMOUNT
-
     days = amounts(daily_orders(spark, sf)).drop("is_wet_day")
     return daily_amount_fact(days, WET_AMOUNT)
 
@@ -126,7 +136,7 @@ def parse_start_date(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", parse_day(text, "dd.MM.yyyy HH:mm:ss").alias("start_date"))
 
 
-@query("SELECT event_id, CAST(ts AS DATE) AS obs_date FROM events")
+@query("SELECT event_id, CAST(ts AS DATE) AS obs_date FROM events", name="utc_date")
 def utc_date_of_text(spark, sf):
     text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     return table(spark, sf, "events").select("event_id", utc_date(text).alias("obs_date"))
@@ -246,7 +256,8 @@ def any_value_meta(spark, sf):
 @query(
     """SELECT CAST(d AS DATE) AS date
        FROM generate_series((SELECT CAST(LEAST((SELECT MIN(o_orderdate) FROM orders), (SELECT MIN(ts) FROM events)) AS DATE) - 6),
-                            (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY) AS s(d)"""
+                            (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY) AS s(d)""",
+    name="date_spine",
 )
 def date_spine_of_data(spark, sf):
     orders, events = table(spark, sf, "orders"), table(spark, sf, "events")

@@ -67,7 +67,7 @@ def monthly_yoy(spark, sf):
     )
 )
 def ytd_to_same_day(spark, sf):
-    return series.ytd_to(base.amounts(daily_orders(spark, sf)), ["area_code"], "obs_date", "precip_mm")
+    return series.ytd_to(base.amounts(base.frozen_days(spark, sf)), ["area_code"], "obs_date", "precip_mm")
 
 
 @query(
@@ -79,7 +79,7 @@ def ytd_to_same_day(spark, sf):
     )
 )
 def ytd_to_same_month_day(spark, sf):
-    return series.ytd_to(base.amounts(daily_orders(spark, sf)), ["area_code"], "obs_date", "precip_mm", "month_day")
+    return series.ytd_to(base.amounts(base.frozen_days(spark, sf)), ["area_code"], "obs_date", "precip_mm", "month_day")
 
 
 @query(

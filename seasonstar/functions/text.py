@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,24 @@ def area_code(kind: Column | str, nr: Column | str, mapping: Mapping[str, str])
     return out
 
 
+def register_area_code(spark: SparkSession, mapping: Mapping[str, str], name: str = "area_code") -> None:
+    """The same mapping as a temporary SQL function, which Spark inlines into the query."""
+    branches = []
+    for kind, text in mapping.items():
+        head, mark, tail = text.partition("{nr}")
+        code = f"concat({_quoted(head)}, nr, {_quoted(tail)})" if mark else _quoted(text)
+        branches.append(f"WHEN kind = {_quoted(kind)} THEN {code}")
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(kind STRING, nr INT) RETURNS STRING "
+        f"RETURN CASE {' '.join(branches)} END"
+    )
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def part_of(c: Column | str, sep: str, n: int) -> Column:
     """The n-th part (1-based) of a separated text, empty when there are fewer parts."""
     return F.split_part(_col(c), F.lit(sep), F.lit(n))

@@ -158,6 +158,12 @@ def publish(spark: SparkSession, tables: Tables, layers: Iterable[str] = ("dw",
             df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def create_views(tables: Tables) -> None:
+    """Temporary views over all layers, named like the tables with `_` for the dot (`rpt_reservoir_trend`)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name.replace(".", "_"))
+
+
 def table_counts(tables: Tables) -> DataFrame:
     """Row counts of the star schema."""
     stored = [n for n in tables if n.startswith("dw.") and not n.startswith("dw.v_")]

@@ -17,10 +17,11 @@ def wanted_periods(entities: DataFrame, first_year: int, as_of: date, name: str
     return entities.select("*", F.explode(years).alias(name))
 
 
-def period_end(year: Column | str, as_of: date) -> Column:
-    """31 December for a closed year, `as_of` for the open one."""
+def period_end(year: Column | str, as_of: date, exclusive: bool = False) -> Column:
+    """31 December for a closed year (or the first day after it, `exclusive`), `as_of` for the open one."""
     year = F.col(year) if isinstance(year, str) else year
-    return F.when(year < as_of.year, F.make_date(year, F.lit(12), F.lit(31))).otherwise(F.lit(as_of))
+    closed = F.make_date(year + 1, F.lit(1), F.lit(1)) if exclusive else F.make_date(year, F.lit(12), F.lit(31))
+    return F.when(year < as_of.year, closed).otherwise(F.lit(as_of))
 
 
 def pending_partitions(

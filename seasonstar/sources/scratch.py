@@ -11,17 +11,17 @@ _SETTING = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str | None:
     """The folder all executors share, as named by the session.
 
-    Only a local session without the setting gets a folder of its own; on a cluster a folder on one
-    machine would be lost with it, so there the setting is required.
+    Only a local session without the setting gets a folder of its own. On a cluster without it there is
+    none: a folder on one machine would be lost with it.
     """
     named = spark.conf.get(_SETTING, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
+        return None
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="seasonstar-")
@@ -29,7 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path of its own in the shared folder."""
+    folder = shared_dir(spark)
+    if folder is None:
+        raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def freeze(df: DataFrame, label: str) -> DataFrame:
@@ -42,3 +46,8 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def freeze_if_possible(df: DataFrame, label: str) -> DataFrame:
+    """`freeze`, or the plan as it is where no shared folder is named: same rows, computed per consumer."""
+    return df if shared_dir(df.sparkSession) is None else freeze(df, label)

@@ -20,6 +20,7 @@ def local_session(cpus: str | None = None, **extra: str) -> SparkSession:
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="seasonstar-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="seasonstar-warehouse-"))
     )

@@ -240,5 +240,6 @@ def test_publish(spark, built):
         """SELECT a.area_code, max(f.precip_mm) AS wettest FROM dw.fact_precipitation_weekly f
            JOIN dw.dim_area a USING (area_key) GROUP BY ALL"""
     )
-    reported = spark.sql("SELECT area_code, max(precip_week_mm) FROM rpt.reservoir_trend GROUP BY ALL")
+    star.create_views(built)
+    reported = spark.sql("SELECT area_code, max(precip_week_mm) FROM rpt_reservoir_trend GROUP BY ALL")
     assert {r[0] for r in joined.collect()} == {r[0] for r in reported.collect()}

@@ -105,6 +105,12 @@ def test_area_code(spark):
     assert rows(df.select(text.area_code("kind", "nr", AREA_CODES).alias("c"))) == sorted([("NO3",), ("NOR",), (None,), (None,)], key=repr)
 
 
+def test_area_code_function_in_sql(spark):
+    text.register_area_code(spark, {"EL": "NO{nr}", "N'O": "it's"})
+    got = spark.sql("SELECT area_code('EL', 3) AS a, area_code('N\\'O', 0) AS b, area_code('X', 1) AS c").first()
+    assert tuple(got) == ("NO3", "it's", None)
+
+
 def test_pick_and_part(spark):
     arr = F.array(F.lit(10.5), F.lit(60.1))
     assert [value(spark, text.pick(arr, n)) for n in (1, 2, 3)] == [10.5, 60.1, None]

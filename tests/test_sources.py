@@ -59,6 +59,8 @@ def test_pending_partitions(spark):
     pending = incremental.pending_partitions(wanted, landed, ["point", "year"], "year", 2021)
     got = sorted(tuple(r) for r in pending.withColumn("end", incremental.period_end("year", as_of)).collect())
     assert got == [("p", 2020, date(2020, 12, 31)), ("p", 2021, as_of), ("q", 2019, date(2019, 12, 31)), ("q", 2021, as_of)]
+    ends = wanted.select(incremental.period_end("year", as_of, exclusive=True).alias("e")).distinct()
+    assert {r.e for r in ends.collect()} == {date(2020, 1, 1), date(2021, 1, 1), as_of}
     assert incremental.pending_partitions(wanted, landed, ["point", "year"], "year", 2021, force=True).count() == 6
 
 
@@ -114,6 +116,14 @@ def test_scratch_folder_is_that_of_the_session(spark):
     assert frozen.count() == 3 and all(named in f for f in frozen.inputFiles())
 
 
+def test_cluster_without_shared_folder_keeps_the_plan(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_dir", lambda _: None)
+    df = spark.range(3)
+    assert scratch.freeze_if_possible(df, "t") is df
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.freeze(df, "t")
+
+
 def test_other_read_errors_are_not_hidden(spark):
     with pytest.raises(Exception, match="nosuchscheme"):
         readers.read_or_empty(spark, "nosuchscheme:///x", schemas.AREA)
