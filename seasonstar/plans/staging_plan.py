@@ -34,8 +34,13 @@ class Raw:
     station_seed: DataFrame
 
 
-def read_raw(spark: SparkSession, landing: str, seeds: str, sources: set[str] | None = None) -> Raw:
-    """Read the landed files; sources that are left out or were never landed are typed empty tables."""
+def read_raw(
+    spark: SparkSession, landing: str, seeds: str, sources: set[str] | None = None, json_lines: bool = False
+) -> Raw:
+    """Read the landed files; sources that are left out or were never landed are typed empty tables.
+
+    With `json_lines` a file may hold many records, one per line, and large files are read by many tasks.
+    """
     wanted = set(SOURCES) if sources is None else set(sources)
     unknown = wanted - set(SOURCES)
     if unknown:
@@ -45,7 +50,7 @@ def read_raw(spark: SparkSession, landing: str, seeds: str, sources: set[str] |
         if source not in wanted:
             return empty_table(spark, schema)
         reader = read_or_empty if optional else read_json
-        return reader(spark, f"{landing}/{file}", schema)
+        return reader(spark, f"{landing}/{file}", schema, multiline=not json_lines)
 
     return Raw(
         level=read("nve", fixed.LEVEL_FILE, schemas.LEVEL),
@@ -146,23 +151,33 @@ def stations(raw: Raw) -> DataFrame:
     )
 
 
-def grid_daily(raw: Raw) -> DataFrame:
-    """Array-encoded series as one row per point and day; sentinel values are NULL.
-
-    The points are joined while a series is still one row, so only known points are unfolded.
-    """
-    known = raw.grid.where(F.col("Theme") == fixed.GRID_THEME).join(
-        raw.point_seed.select("point_id", "utm33_x", "utm33_y"),
+def _known_series(raw: Raw) -> DataFrame:
+    """The array-encoded series of known points, still one row per series."""
+    return raw.grid.where(F.col("Theme") == fixed.GRID_THEME).join(
+        raw.point_seed.select(F.col("point_id").alias("station_id"), "utm33_x", "utm33_y"),
         (F.col("utm33_x") == F.col("X")) & (F.col("utm33_y") == F.col("Y")),
     )
-    rows = known.withColumn("station_id", F.col("point_id"))
+
+
+def grid_daily(raw: Raw) -> DataFrame:
+    """Array-encoded series as one row per point and day; sentinel values are NULL."""
     long = series_from_array(
-        rows, ["station_id", LOADED_AT, SOURCE_FILE], parse_day("StartDate", fixed.GRID_START_PATTERN), "Data",
+        _known_series(raw), ["station_id", LOADED_AT], parse_day("StartDate", fixed.GRID_START_PATTERN), "Data",
         "precip_mm", "obs_date", F.col("NoDataValue").cast("double"),
     )
     return long.withColumn("quality_code", F.lit(None).cast("int"))
 
 
+def first_observation(raw: Raw) -> DataFrame:
+    """One row with the first day that has a value, found without unfolding or de-duplicating the series."""
+    present = F.transform("Data", lambda v: v.isNotNull() & (v != F.coalesce(F.col("NoDataValue"), F.lit(float("nan")))))
+    at = F.array_position(present, F.lit(True)).cast("int")
+    start = parse_day("StartDate", fixed.GRID_START_PATTERN)
+    grid = _known_series(raw).select(F.when(at > 0, F.date_add(start, at - 1)).alias("obs_date"))
+    seen = observed_daily(raw).where(F.col("precip_mm").isNotNull()).select("obs_date")
+    return grid.unionByName(seen).agg(F.min("obs_date").alias("obs_date"))
+
+
 def observed_daily(raw: Raw) -> DataFrame:
     """Nested observations as one row per station and day; -1 (not measurable) is 0, NULL stays NULL."""
     wanted = (F.col("o.elementId") == fixed.OBSERVATION_ELEMENT) & (F.col("o.timeOffset") == fixed.OBSERVATION_OFFSET)
@@ -171,12 +186,16 @@ def observed_daily(raw: Raw) -> DataFrame:
         utc_date("referenceTime").alias("obs_date"),
         clamp_floor("o.value", 0.0).alias("precip_mm"),
         F.col("o.qualityCode").alias("quality_code"),
-        LOADED_AT, SOURCE_FILE,
+        LOADED_AT,
     )
 
 
 def precipitation_daily(raw: Raw) -> DataFrame:
-    """Latest value per station and day over both sources."""
+    """Latest value per station and day over both sources.
+
+    Among values loaded at the same time the smallest wins; the file path is left behind, as it would be
+    most of what the shuffle carries.
+    """
     both = grid_daily(raw).unionByName(observed_daily(raw)).where(F.col("precip_mm").isNotNull())
     newest = dedup_latest(both, ["station_id", "obs_date"], latest_first(both, LOADED_AT))
     return newest.select("station_id", "obs_date", "precip_mm", "quality_code")

@@ -37,18 +37,21 @@ def staging(raw: Raw) -> Tables:
     }
 
 
-def star(spark: SparkSession, stg: Tables, as_of: date, keep: Callable[[DataFrame, str], DataFrame]) -> Tables:
+def star(
+    spark: SparkSession, stg: Tables, first_observation: DataFrame, as_of: date, keep: Callable[[DataFrame, str], DataFrame]
+) -> Tables:
     """Dimensions and facts. `keep` materialises a table under its name and returns it for further use.
 
+    The daily series are unfolded and de-duplicated once, on the way into the daily fact; everything
+    after reads the fact.
+
     Dates after the calendar (31 December of the year of `as_of`) have no date row and are left out.
     """
     last_day = F.lit(date(as_of.year, 12, 31))
     level = keep(stg["stg.reservoir_weekly_base"], "stg.reservoir_weekly_base")
-    daily = keep(stg["stg.precipitation_daily"], "stg.precipitation_daily")
+    daily = stg["stg.precipitation_daily"]
 
-    first = F.least(
-        level.select(F.min("week_end_date")).scalar(), daily.select(F.min("obs_date")).scalar()
-    )
+    first = F.least(level.select(F.min("week_end_date")).scalar(), first_observation.scalar())
     dates = keep(dim_date(spark, first, as_of), "dw.dim_date")
     area = keep(area_dim(stg["stg.area"]), "dw.dim_area")
     station = keep(_stations(stg["stg.station"], area), "dw.dim_station")
@@ -128,14 +131,16 @@ def report_tables(dw: Tables) -> Tables:
 
 
 def build(
-    spark: SparkSession, landing: str, seeds: str, as_of: date, out: str | None = None, sources: set[str] | None = None
+    spark: SparkSession, landing: str, seeds: str, as_of: date, out: str | None = None,
+    sources: set[str] | None = None, json_lines: bool = False,
 ) -> Tables:
     """All layers over a landing folder.
 
     With `out` the star schema is written there as Parquet, one folder per table, and the reports read
     the written tables; without it everything stays lazy.
     """
-    stg = staging(staging_plan.read_raw(spark, landing, seeds, sources))
+    raw = staging_plan.read_raw(spark, landing, seeds, sources, json_lines)
+    stg = staging(raw)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         if out is None:
@@ -144,7 +149,7 @@ def build(
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    dw = star(spark, stg, as_of, keep)
+    dw = star(spark, stg, staging_plan.first_observation(raw), as_of, keep)
     return {**stg, **dw, **report_tables(dw)}
 
 

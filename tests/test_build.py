@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 from collections import defaultdict
 from datetime import date, timedelta
@@ -60,6 +61,16 @@ def test_dimensions(built):
     assert sorted(r.station_key for r in stations.values()) == [1, 2, 3, 4, 5]
 
 
+def test_first_observation_skips_sentinels_and_nulls(spark, tmp_path):
+    landing = fx.write_landing(tmp_path / "data", date(2020, 1, 13), date(2020, 2, 1), observers=True)
+    raw = star.staging_plan.read_raw(spark, landing, fx.write_seeds(tmp_path / "seeds"))
+    assert star.staging_plan.first_observation(raw).first().obs_date == date(2020, 1, 13)
+    second = raw.grid.where("X = 1001")  # its first value is the sentinel
+    only = dataclasses.replace(raw, grid=second, observation=raw.observation.limit(0))
+    assert star.staging_plan.first_observation(only).first().obs_date == date(2020, 1, 14)
+    assert star.staging_plan.precipitation_daily(only).agg({"obs_date": "min"}).first()[0] == date(2020, 1, 14)
+
+
 def test_daily_fact(built):
     got = {(r.station_key, r.date_key): r for r in built["dw.fact_precipitation_daily"].collect()}
     keys = {r.station_id: r.station_key for r in built["dw.dim_station"].collect()}
