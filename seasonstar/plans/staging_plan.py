@@ -118,11 +118,29 @@ def areas(raw: DataFrame) -> DataFrame:
     )
 
 
-def stations(raw: Raw) -> DataFrame:
+def grid_points(grid: DataFrame) -> DataFrame:
+    """One row per coordinate pair of the series: its height, first day with a value, number of values.
+
+    The values are counted in the arrays as they are, without unfolding them. The first day survives
+    de-duplication, as a value is only ever replaced by another value.
+    """
+    is_series = F.col("Theme") == fixed.GRID_THEME
+    no_data = F.coalesce(F.col("NoDataValue").cast("double"), F.lit(float("nan")))
+    at = F.array_position(F.transform("Data", lambda v: v.isNotNull() & (v != no_data)), F.lit(True)).cast("int")
+    return grid.groupBy("X", "Y").agg(
+        any_present("Altitude").alias("elevation_m"),
+        F.min(F.when(is_series & (at > 0), F.date_add(_start(), at - 1))).alias("first_day"),
+        F.sum(F.when(is_series, F.size("Data"))).alias("n_values"),
+    )
+
+
+def _at_point(points: DataFrame, raw: Raw, how: str) -> DataFrame:
+    return raw.point_seed.join(points, (F.col("X") == F.col("utm33_x")) & (F.col("Y") == F.col("utm33_y")), how)
+
+
+def stations(raw: Raw, points: DataFrame) -> DataFrame:
     """Grid points and observing stations, with the flag that says which of them count for their area."""
-    heights = raw.grid.groupBy("X", "Y").agg(any_present("Altitude").alias("elevation_m"))
-    seed = raw.point_seed
-    grid = seed.join(heights, (F.col("X") == F.col("utm33_x")) & (F.col("Y") == F.col("utm33_y")), "left").select(
+    grid = _at_point(points, raw, "left").select(
         F.col("point_id").alias("station_id"),
         F.col("name").alias("station_name"),
         F.col("name").alias("short_name"),
@@ -143,8 +161,8 @@ def stations(raw: Raw) -> DataFrame:
         F.lit(fixed.STATION_SOURCE_LABEL).alias("source"),
         F.lit(False).alias("_primary"),
     )
-    points = observing.unionByName(grid, allowMissingColumns=True)
-    flagged = prefer_source(points, "area_code", "_primary", raw.point_seed.select("area_code"))
+    every = observing.unionByName(grid, allowMissingColumns=True)
+    flagged = prefer_source(every, "area_code", "_primary", raw.point_seed.select("area_code"))
     return flagged.select(
         "station_id", "station_name", "short_name", "municipality", "county", "elevation_m", "latitude",
         "longitude", "area_code", "source", "use_for_area",
@@ -159,30 +177,27 @@ def _known_series(raw: Raw) -> DataFrame:
     )
 
 
-def grid_daily(raw: Raw) -> DataFrame:
+def grid_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     """Array-encoded series as one row per point and day; sentinel values are NULL."""
+    series = _known_series(raw)
     long = series_from_array(
-        _known_series(raw), ["station_id", LOADED_AT], parse_day("StartDate", fixed.GRID_START_PATTERN), "Data",
+        series.repartition("station_id") if by_station else series, ["station_id", LOADED_AT], _start(), "Data",
         "precip_mm", "obs_date", F.col("NoDataValue").cast("double"),
     )
     return long.withColumn("quality_code", F.lit(None).cast("int"))
 
 
-def first_observation(raw: Raw) -> DataFrame:
-    """One row with the first day that has a value, found without unfolding or de-duplicating the series."""
-    present = F.transform("Data", lambda v: v.isNotNull() & (v != F.coalesce(F.col("NoDataValue"), F.lit(float("nan")))))
-    at = F.array_position(present, F.lit(True)).cast("int")
-    start = parse_day("StartDate", fixed.GRID_START_PATTERN)
-    grid = _known_series(raw).select(F.when(at > 0, F.date_add(start, at - 1)).alias("obs_date"))
-    seen = observed_daily(raw).where(F.col("precip_mm").isNotNull()).select("obs_date")
-    return grid.unionByName(seen).agg(F.min("obs_date").alias("obs_date"))
+def _start():
+    return parse_day("StartDate", fixed.GRID_START_PATTERN)
 
 
-def observed_daily(raw: Raw) -> DataFrame:
+def observed_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     """Nested observations as one row per station and day; -1 (not measurable) is 0, NULL stays NULL."""
-    wanted = (F.col("o.elementId") == fixed.OBSERVATION_ELEMENT) & (F.col("o.timeOffset") == fixed.OBSERVATION_OFFSET)
-    return nested_observations(raw.observation, "observations", wanted).select(
-        part_of("sourceId", ":", 1).alias("station_id"),
+    rows = raw.observation.withColumn("station_id", part_of("sourceId", ":", 1))
+    return nested_observations(
+        rows.repartition("station_id") if by_station else rows, "observations", _wanted(F.col("o"))
+    ).select(
+        "station_id",
         utc_date("referenceTime").alias("obs_date"),
         clamp_floor("o.value", 0.0).alias("precip_mm"),
         F.col("o.qualityCode").alias("quality_code"),
@@ -190,12 +205,39 @@ def observed_daily(raw: Raw) -> DataFrame:
     )
 
 
-def precipitation_daily(raw: Raw) -> DataFrame:
+def _wanted(o):
+    return (o["elementId"] == fixed.OBSERVATION_ELEMENT) & (o["timeOffset"] == fixed.OBSERVATION_OFFSET)
+
+
+def series_profile(raw: Raw, points: DataFrame) -> DataFrame:
+    """One row: the first day with a value, and the number of values of the station that has most."""
+    grid = _at_point(points, raw, "inner").select(F.col("point_id").alias("station_id"), "first_day", "n_values")
+    seen = F.exists("observations", lambda o: _wanted(o) & o["value"].isNotNull())
+    observed = raw.observation.select(
+        part_of("sourceId", ":", 1).alias("station_id"),
+        F.when(seen, utc_date("referenceTime")).alias("first_day"),
+        F.size("observations").cast("long").alias("n_values"),
+    )
+    per_station = grid.unionByName(observed).groupBy("station_id").agg(
+        F.min("first_day").alias("first_day"), F.sum("n_values").alias("n_values")
+    )
+    return per_station.agg(
+        F.min("first_day").alias("first_day"), F.coalesce(F.max("n_values"), F.lit(0)).alias("most_values")
+    )
+
+
+def precipitation_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     """Latest value per station and day over both sources.
 
+    With `by_station` the series are gathered per station while they are still arrays: few rows are
+    shuffled, the days are sorted once, and they stay together for the weekly sums. It needs every
+    station to fit in a task. Otherwise the days are unfolded first and shuffled by station and day,
+    after each task has dropped what it can, so that a station with very many copies is spread.
+
     Among values loaded at the same time the smallest wins; the file path is left behind, as it would be
     most of what the shuffle carries.
     """
-    both = grid_daily(raw).unionByName(observed_daily(raw)).where(F.col("precip_mm").isNotNull())
-    newest = dedup_latest(both, ["station_id", "obs_date"], latest_first(both, LOADED_AT))
+    both = grid_daily(raw, by_station).unionByName(observed_daily(raw, by_station))
+    kept = both.where(F.col("precip_mm").isNotNull())
+    newest = dedup_latest(kept, ["station_id", "obs_date"], latest_first(kept, LOADED_AT))
     return newest.select("station_id", "obs_date", "precip_mm", "quality_code")

@@ -23,7 +23,10 @@ Tables = dict[str, DataFrame]
 AMOUNT_SCALE = 6  # digits kept of a daily amount when amounts are summed
 
 
-def staging(raw: Raw) -> Tables:
+VALUES_PER_TASK = 20_000_000  # largest station that is gathered in one task (about 1 GB of days)
+
+
+def staging(raw: Raw, points: DataFrame, by_station: bool = False) -> Tables:
     """The staging layer; lazy."""
     base = staging_plan.level_base(raw.level)
     area = staging_plan.areas(raw.area)
@@ -32,13 +35,13 @@ def staging(raw: Raw) -> Tables:
         "stg.reservoir_weekly": staging_plan.level_weekly(base),
         "stg.reservoir_benchmark": staging_plan.benchmark(raw.benchmark),
         "stg.area": area.unionByName(literal_row(area, fixed.TOTAL_AREA_ROW)),
-        "stg.station": staging_plan.stations(raw),
-        "stg.precipitation_daily": staging_plan.precipitation_daily(raw),
+        "stg.station": staging_plan.stations(raw, points),
+        "stg.precipitation_daily": staging_plan.precipitation_daily(raw, by_station),
     }
 
 
 def star(
-    spark: SparkSession, stg: Tables, first_observation: DataFrame, as_of: date, keep: Callable[[DataFrame, str], DataFrame]
+    spark: SparkSession, stg: Tables, first_day: date | None, as_of: date, keep: Callable[[DataFrame, str], DataFrame]
 ) -> Tables:
     """Dimensions and facts. `keep` materialises a table under its name and returns it for further use.
 
@@ -51,7 +54,7 @@ def star(
     level = keep(stg["stg.reservoir_weekly_base"], "stg.reservoir_weekly_base")
     daily = stg["stg.precipitation_daily"]
 
-    first = F.least(level.select(F.min("week_end_date")).scalar(), first_observation.scalar())
+    first = F.least(level.select(F.min("week_end_date")).scalar(), F.lit(first_day).cast("date"))
     dates = keep(dim_date(spark, first, as_of), "dw.dim_date")
     area = keep(area_dim(stg["stg.area"]), "dw.dim_area")
     station = keep(_stations(stg["stg.station"], area), "dw.dim_station")
@@ -137,11 +140,9 @@ def build(
     """All layers over a landing folder.
 
     With `out` the star schema is written there as Parquet, one folder per table, and the reports read
-    the written tables; without it everything stays lazy.
+    the written tables; without it they stay lazy. Two things are looked up first, in one pass over the
+    series: the first day with a value, and whether every station fits in a task.
     """
-    raw = staging_plan.read_raw(spark, landing, seeds, sources, json_lines)
-    stg = staging(raw)
-
     def keep(df: DataFrame, name: str) -> DataFrame:
         if out is None:
             return df
@@ -149,7 +150,11 @@ def build(
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    dw = star(spark, stg, staging_plan.first_observation(raw), as_of, keep)
+    raw = staging_plan.read_raw(spark, landing, seeds, sources, json_lines)
+    points = keep(staging_plan.grid_points(raw.grid), "stg.grid_points")
+    profile = staging_plan.series_profile(raw, points).first()
+    stg = staging(raw, points, profile.most_values <= VALUES_PER_TASK)
+    dw = star(spark, stg, profile.first_day, as_of, keep)
     return {**stg, **dw, **report_tables(dw)}
 
 

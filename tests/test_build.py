@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import re
 from collections import defaultdict
 from datetime import date, timedelta
 from fractions import Fraction
@@ -61,14 +62,24 @@ def test_dimensions(built):
     assert sorted(r.station_key for r in stations.values()) == [1, 2, 3, 4, 5]
 
 
-def test_first_observation_skips_sentinels_and_nulls(spark, tmp_path):
+def test_profile_and_both_ways_to_gather(spark, tmp_path):
     landing = fx.write_landing(tmp_path / "data", date(2020, 1, 13), date(2020, 2, 1), observers=True)
     raw = star.staging_plan.read_raw(spark, landing, fx.write_seeds(tmp_path / "seeds"))
-    assert star.staging_plan.first_observation(raw).first().obs_date == date(2020, 1, 13)
-    second = raw.grid.where("X = 1001")  # its first value is the sentinel
-    only = dataclasses.replace(raw, grid=second, observation=raw.observation.limit(0))
-    assert star.staging_plan.first_observation(only).first().obs_date == date(2020, 1, 14)
-    assert star.staging_plan.precipitation_daily(only).agg({"obs_date": "min"}).first()[0] == date(2020, 1, 14)
+
+    def profile_of(some):
+        return tuple(star.staging_plan.series_profile(some, star.staging_plan.grid_points(some.grid)).first())
+
+    profile = star.staging_plan.series_profile(raw, star.staging_plan.grid_points(raw.grid)).first()
+    assert (profile.first_day, profile.most_values) == (date(2020, 1, 13), 60)
+    only = dataclasses.replace(raw, grid=raw.grid.where("X = 1001"), observation=raw.observation.limit(0))
+    assert profile_of(only) == (date(2020, 1, 14), 20)  # starts with the sentinel
+    none = dataclasses.replace(only, grid=only.grid.limit(0))
+    assert profile_of(none) == (None, 0)
+    twice = dataclasses.replace(raw, grid=raw.grid.union(raw.grid), observation=raw.observation.union(raw.observation))
+    ways = [sorted(map(repr, star.staging_plan.precipitation_daily(twice, by).collect())) for by in (False, True)]
+    assert ways[0] == ways[1] and len(ways[0]) > 60
+    plan = star.staging_plan.precipitation_daily(raw, True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(station_id" in plan and not re.search(r"hashpartitioning\(station_id\S+, obs_date", plan)
 
 
 def test_daily_fact(built):
