@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonstar.catalogue.base import areas, daily_orders, levels, table
+from seasonstar.catalogue.base import areas, daily_orders, frozen_days, levels, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
 from seasonstar.functions.numeric import exact_sum, from_units, to_units
@@ -300,5 +300,5 @@ def dq_gaps(spark, sf):
     )
 )
 def quality_report(spark, sf):
-    days = daily_orders(spark, sf)
+    days = frozen_days(spark, sf)
     return quality.quality_report(days, ["station"], {"n_orders": (1, 3)}, "obs_date", 1, date(2000, 12, 31))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def keep_all(left: DataFrame, right: DataFrame, key: str, where: Column | None = None) -> DataFrame:

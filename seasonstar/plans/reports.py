@@ -62,7 +62,9 @@ def trend(fact: DataFrame, weekly: DataFrame, area: str = "area_code") -> DataFr
     )
 
 
-def monthly_report(daily_area: DataFrame, area: str = "area_code", full_days: int = FULL_MONTH_DAYS, date_col: str = "obs_date") -> DataFrame:
+def monthly_report(
+    daily_area: DataFrame, area: str = "area_code", full_days: int = FULL_MONTH_DAYS, date_col: str = "obs_date"
+) -> DataFrame:
     """Monthly amounts against the previous available year and the normal of the month.
 
     The normal is the mean over the months with at least `full_days` days of data.
@@ -92,7 +94,9 @@ def yearly_levels(fact: DataFrame, area: str = "area_code") -> DataFrame:
     )
 
 
-def yearly_amounts(daily_area: DataFrame, area: str = "area_code", date_col: str = "obs_date", last_day: DataFrame | None = None) -> DataFrame:
+def yearly_amounts(
+    daily_area: DataFrame, area: str = "area_code", date_col: str = "obs_date", last_day: DataFrame | None = None
+) -> DataFrame:
     """Totals, wettest day and the total up to the day of the year of the last observation.
 
     The full and the year-to-date total come from one pass over the days.

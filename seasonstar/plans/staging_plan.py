@@ -65,8 +65,15 @@ def read_raw(
 
 
 def corrupt_records(raw: DataFrame) -> DataFrame:
-    """Records that could not be read, with their file."""
-    return raw.where(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, CORRUPT)
+    """Records that could not be read, with their file and what could be read of them (`fields`, as JSON).
+
+    Spark refuses to scan for the corrupt text alone, so the filter looks at the fields as well.
+    """
+    data = [c for c in raw.columns if c not in (CORRUPT, LOADED_AT, SOURCE_FILE)]
+    fields = F.to_json(F.struct(*data))
+    return raw.where(F.col(CORRUPT).isNotNull() & (F.length(fields) > 0)).select(
+        SOURCE_FILE, CORRUPT, fields.alias("fields")
+    )
 
 
 def _code():

@@ -18,7 +18,8 @@ def land_new_files(
     """Append every file of `source` not seen before to the Parquet table `target`, then stop.
 
     The checkpoint remembers the files, and the file sink commits whole batches, so a run that is
-    repeated after a failure neither skips nor doubles a file. Returns the number of rows landed.
+    repeated after a failure neither skips nor doubles a file. Returns the number of rows landed (Spark
+    reports them for the last 100 batches of a run).
     """
     reader = spark.readStream.format(file_format).schema(schema).options(**(options or {}))
     if files_per_batch:

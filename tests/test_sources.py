@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasonstar.plans import staging_plan
 from seasonstar.sources import incremental, readers, schemas, scratch
 from seasonstar.streaming import landing
 from tests import fixtures as fx
@@ -25,7 +26,10 @@ def test_json_array_lineage_and_missing_fields(spark, tmp_path):
 
 def test_corrupt_record_is_kept_as_text(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"navn": "x", ')
-    got = readers.read_json(spark, str(tmp_path / "bad.json"), schemas.AREA).collect()
+    raw = readers.read_json(spark, str(tmp_path / "bad.json"), schemas.AREA)
+    got = raw.collect()
+    found = staging_plan.corrupt_records(raw)
+    assert found.count() == 1 and found.first()._source_file.endswith("bad.json")
     assert len(got) == 1 and got[0].navn is None and got[0]._corrupt_record
 
 
