@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonstar.functions.calendar import date_key, iso_week, iso_week_end, iso_year
-from seasonstar.functions.numeric import exact_mean, exact_sum, round_half_away, sum_of_means, threshold_flag
+from seasonstar.functions.numeric import (
+    exact_mean, exact_sum, from_units, round_half_away, sum_of_means, threshold_flag, to_units,
+)
 
 
 def with_total(df: DataFrame, time_keys: list[str], area_col: str, total_value, aggs: Mapping[str, Column]) -> DataFrame:
@@ -26,6 +28,28 @@ def with_total(df: DataFrame, time_keys: list[str], area_col: str, total_value,
     return out.select(area.alias(area_col), *time_keys, *aggs)
 
 
+def _area_means(
+    df: DataFrame, area_col: str, time_keys: list[str], scales: Mapping[str, int], total_value,
+    more: Mapping[str, tuple[Column, Callable[[str], Column]]],
+) -> DataFrame:
+    """Means per area and time, with total rows made from the sums and counts of the areas.
+
+    The input is read once per row: only the few area rows are combined a second time. `more` maps
+    further columns to their aggregate and to the function that combines them.
+    """
+    parts = df.groupBy(area_col, *time_keys).agg(
+        *[F.sum(to_units(c, s)).alias(c) for c, s in scales.items()],
+        *[F.count(c).alias(f"_n_{c}") for c in scales],
+        *[first.alias(c) for c, (first, _) in more.items()],
+    )
+    if total_value is not None:
+        combined = {c: F.sum(c) for x in scales for c in (x, f"_n_{x}")} | {c: again(c) for c, (_, again) in more.items()}
+        parts = with_total(parts, time_keys, area_col, total_value, combined)
+    no_rows = F.lit(0).cast("long")
+    means = [(from_units(c, s) / F.nullif(F.col(f"_n_{c}"), no_rows)).alias(c) for c, s in scales.items()]
+    return parts.select(area_col, *time_keys, *means, *more)
+
+
 def two_level_mean(
     df: DataFrame, entity: str, area_col: str, time_keys: list[str], sums: Mapping[str, int],
     total_value=None, digits: int = 1, count_name: str = "station_count",
@@ -39,12 +63,9 @@ def two_level_mean(
     per_entity = df.groupBy(entity, area_col, *time_keys).agg(
         *[exact_sum(c, s).alias(c) for c, s in sums.items()], F.count("*").alias("days_with_data")
     )
-    aggs = {c: round_half_away(exact_mean(c, s), digits) for c, s in sums.items()}
-    aggs["days_with_data"] = F.min("days_with_data")
-    aggs[count_name] = F.count("*")
-    if total_value is not None:
-        return with_total(per_entity, time_keys, area_col, total_value, aggs)
-    return per_entity.groupBy(area_col, *time_keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    more = {"days_with_data": (F.min("days_with_data"), F.min), count_name: (F.count("*"), F.sum)}
+    means = _area_means(per_entity, area_col, time_keys, sums, total_value, more)
+    return means.withColumns({c: round_half_away(c, digits) for c in sums})
 
 
 def daily_amount_fact(daily: DataFrame, threshold: float, amount: str = "precip_mm", date_col: str = "obs_date") -> DataFrame:
@@ -90,10 +111,10 @@ def daily_area_mean(
     amount: str = "precip_mm", scale: int = 2,
 ) -> DataFrame:
     """Mean amount and wet share over the stations of an area and day, not rounded."""
-    aggs = {"precip_mm": exact_mean(amount, scale), "wet_day_share": exact_mean("is_wet_day", 0)}
-    if total_value is not None:
-        return with_total(daily, [date_col], area_col, total_value, aggs)
-    return daily.groupBy(area_col, date_col).agg(*[c.alias(n) for n, c in aggs.items()])
+    days = daily.select(
+        area_col, date_col, F.col(amount).alias("precip_mm"), F.col("is_wet_day").alias("wet_day_share")
+    )
+    return _area_means(days, area_col, [date_col], {"precip_mm": scale, "wet_day_share": 0}, total_value, {})
 
 
 def monthly_amounts(daily_area: DataFrame, keys: list[str], date_col: str = "obs_date") -> DataFrame:
