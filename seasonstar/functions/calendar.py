@@ -72,10 +72,15 @@ def utc_date(c: Column | str) -> Column:
 
 
 def date_spine(spark: SparkSession, d0: Column | date, d1: Column | date, name: str = "date") -> DataFrame:
-    """One row per day from `d0` to `d1`, both included. Bounds may be scalar subqueries."""
+    """One row per day from `d0` to `d1`, both included; none if they are in the wrong order or NULL.
+
+    Bounds may be scalar subqueries.
+    """
     lo = d0 if isinstance(d0, Column) else F.lit(d0)
     hi = d1 if isinstance(d1, Column) else F.lit(d1)
-    return spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("interval 1 day"))).alias(name))
+    bounds = spark.range(1).select(lo.alias("_lo"), hi.alias("_hi"))
+    days = F.sequence("_lo", F.greatest("_lo", "_hi"), F.expr("interval 1 day"))  # never backwards
+    return bounds.select("_hi", F.explode(days).alias(name)).where(F.col(name) <= F.col("_hi")).select(name)
 
 
 def with_calendar(

@@ -13,7 +13,7 @@ from seasonstar.sources.readers import union_by_name
 
 def wanted_periods(entities: DataFrame, first_year: int, as_of: date, name: str = "year") -> DataFrame:
     """Every entity with every year up to that of `as_of` (row-local, no join)."""
-    years = F.sequence(F.lit(first_year), F.lit(as_of.year))
+    years = F.array(*[F.lit(y) for y in range(first_year, as_of.year + 1)]).cast("array<int>")
     return entities.select("*", F.explode(years).alias(name))
 
 
@@ -64,6 +64,24 @@ def upsert_partitions(
     missing = [c for c in partition_by if c not in keys]
     if missing:
         raise ValueError(f"partition columns must be part of the key: {missing}")
-    touched = new.select(*partition_by).distinct()
-    old = spark.read.parquet(path).join(touched, on=partition_by, how="left_semi")
+    old = touched_partitions(spark.read.parquet(path), new, partition_by)
     land(upsert_latest(old, new, keys, order), path, partition_by)
+
+
+LISTED_VALUES = 1000
+
+
+def touched_partitions(table: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of a partitioned table that lie in the partitions of `new`.
+
+    The values of each partition column are listed in the filter where there are few of them, so that
+    other folders are never opened; the semi join makes it exact for combinations and for long lists.
+    """
+    for c in partition_by:
+        values = [r[0] for r in new.select(c).distinct().limit(LISTED_VALUES + 1).collect()]
+        if len(values) <= LISTED_VALUES:
+            listed = F.col(c).isin([v for v in values if v is not None])
+            table = table.where(listed | F.col(c).isNull() if None in values else listed)
+    touched = new.select(*partition_by).distinct()
+    same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in partition_by]
+    return table.alias("old").join(touched.alias("new"), same, "left_semi")

@@ -87,6 +87,13 @@ def test_calendar_against_python_for_every_day(spark):
         assert (r.day_of_year, r.quarter) == (r.date.timetuple().tm_yday, (r.date.month + 2) // 3)
 
 
+def test_spine_bounds(spark):
+    assert calendar.date_spine(spark, d("2020-01-02"), d("2020-01-01")).count() == 0
+    assert calendar.date_spine(spark, d("2020-01-02"), d("2020-01-02")).count() == 1
+    empty = spark.createDataFrame([], "t date")
+    assert calendar.date_spine(spark, empty.select(F.min("t")).scalar(), d("2020-01-01")).count() == 0
+
+
 def test_dates_from_text(spark):
     assert value(spark, calendar.parse_day(F.lit("01.02.2018 06:00:00"), "dd.MM.yyyy HH:mm:ss")) == d("2018-02-01")
     assert value(spark, calendar.parse_day(F.lit("bad"), "dd.MM.yyyy HH:mm:ss")) is None

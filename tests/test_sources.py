@@ -95,6 +95,19 @@ def test_upsert(spark, tmp_path):
         incremental.upsert_partitions(spark, path, new, ["k"], order, ["year"])
 
 
+def test_only_touched_partitions_are_opened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(a, y, i, float(i)) for i, (a, y) in enumerate([("p", 2019), ("p", 2020), ("q", 2020), ("q", 2021), (None, 2020)])]
+    df = spark.createDataFrame(rows, "area string, year int, id int, x double")
+    incremental.land(df, path, ["area", "year"])
+    new = spark.createDataFrame([("p", 2020, 9, 1.0), (None, 2020, 8, 1.0)], df.schema)
+    old = incremental.touched_partitions(spark.read.parquet(path), new, ["area", "year"])
+    assert sorted(r.id for r in old.collect()) == [1, 4]
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan[plan.index("PartitionFilters: ["):][:80]
+    assert incremental.wanted_periods(df.select("area"), 2030, date(2021, 1, 1)).count() == 0
+
+
 def test_stream_lands_each_file_once(spark, tmp_path):
     src, target, mark = tmp_path / "src", str(tmp_path / "landed"), str(tmp_path / "mark")
     src.mkdir()
