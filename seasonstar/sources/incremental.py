@@ -68,20 +68,25 @@ def upsert_partitions(
     land(upsert_latest(old, new, keys, order), path, partition_by)
 
 
-LISTED_VALUES = 1000
+LISTED_PARTITIONS = 1000
 
 
 def touched_partitions(table: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
     """The rows of a partitioned table that lie in the partitions of `new`.
 
-    The values of each partition column are listed in the filter where there are few of them, so that
-    other folders are never opened; the semi join makes it exact for combinations and for long lists.
+    Up to LISTED_PARTITIONS partitions are listed: their values go into the filter, so that other folders
+    are never opened, and their combinations are broadcast, so that the table is not shuffled. More are
+    matched by an ordinary semi join.
     """
-    for c in partition_by:
-        values = [r[0] for r in new.select(c).distinct().limit(LISTED_VALUES + 1).collect()]
-        if len(values) <= LISTED_VALUES:
-            listed = F.col(c).isin([v for v in values if v is not None])
-            table = table.where(listed | F.col(c).isNull() if None in values else listed)
     touched = new.select(*partition_by).distinct()
+    listed = touched.limit(LISTED_PARTITIONS + 1).collect()
+    if len(listed) <= LISTED_PARTITIONS:
+        touched = F.broadcast(new.sparkSession.createDataFrame(listed, touched.schema))
+        for c in partition_by:
+            values = {r[c] for r in listed}
+            match = F.col(c).isin(*(values - {None}))
+            table = table.where(match | F.col(c).isNull() if None in values else match)
+        if len(partition_by) == 1:
+            return table
     same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in partition_by]
     return table.alias("old").join(touched.alias("new"), same, "left_semi")

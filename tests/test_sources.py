@@ -95,7 +95,7 @@ def test_upsert(spark, tmp_path):
         incremental.upsert_partitions(spark, path, new, ["k"], order, ["year"])
 
 
-def test_only_touched_partitions_are_opened(spark, tmp_path):
+def test_only_touched_partitions_are_opened(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     rows = [(a, y, i, float(i)) for i, (a, y) in enumerate([("p", 2019), ("p", 2020), ("q", 2020), ("q", 2021), (None, 2020)])]
     df = spark.createDataFrame(rows, "area string, year int, id int, x double")
@@ -105,6 +105,13 @@ def test_only_touched_partitions_are_opened(spark, tmp_path):
     assert sorted(r.id for r in old.collect()) == [1, 4]
     plan = old._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "year" in plan[plan.index("PartitionFilters: ["):][:80]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    monkeypatch.setattr(incremental, "LISTED_PARTITIONS", 1)
+    many = incremental.touched_partitions(spark.read.parquet(path), new, ["area", "year"])
+    assert sorted(r.id for r in many.collect()) == [1, 4]
+    monkeypatch.undo()
+    one = incremental.touched_partitions(spark.read.parquet(path), new, ["area"])
+    assert sorted(r.id for r in one.collect()) == [0, 1, 4]
     assert incremental.wanted_periods(df.select("area"), 2030, date(2021, 1, 1)).count() == 0
 
 
