@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstar.llm import chat, mixing, packing, token_files
+from seasonstar.llm import bitsliced, chat, mixing, packing, token_files
 from seasonstar.llm.common import store, table
 
 
@@ -26,6 +26,11 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chats(store(blocks, "chats"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return bitsliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, from the files they were written to."""
     read = token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -40,5 +45,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op3_chat, op8_token_files, op9_packing)}
-ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL}
+QUERIES = {f.__name__: f for f in (op1_mix, op3_chat, op5_top_k, op8_token_files, op9_packing)}
+ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL}
