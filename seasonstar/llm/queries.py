@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstar.llm import bitsliced, chat, mixing, packing, simhash, token_files
+from seasonstar.llm import bitsliced, chat, mixing, packing, quality, simhash, token_files
 from seasonstar.llm.common import store, table
 
 
@@ -31,6 +31,13 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chats(store(blocks, "chats"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *base)
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -50,5 +57,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_simhash, op3_chat, op5_top_k, op8_token_files, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k, op8_token_files, op9_packing)}
 ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL}
