@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstar.llm import bitsliced, chat, mixing, packing, quality, simhash, token_files
+from seasonstar.llm import bitsliced, chat, mixing, packing, pii, quality, simhash, token_files
 from seasonstar.llm.common import store, table
 
 
@@ -57,5 +57,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k, op8_token_files, op9_packing)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s: s["kind_no"] == F.lit(i))).cast("long").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k, op8_token_files, op9_packing, op10_pii)}
 ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL}
