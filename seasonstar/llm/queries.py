@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstar.llm import bitsliced, chat, mixing, packing, pii, quality, simhash, token_files
+from seasonstar.llm import bitsliced, chat, mixing, packing, passages, pii, quality, simhash, token_counts, token_files
 from seasonstar.llm.common import store, table
 
 
@@ -17,7 +17,8 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, distance=4)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, distance=4)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,20 +44,34 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents have in common with others."""
+    return passages.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, from the files they were written to."""
     read = token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of every document in sequences of at most 1024 tokens."""
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return pieces.select(
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens, with a checksum of each."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find(table(spark, sf_dir, "documents"))
@@ -68,5 +83,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k, op8_token_files, op9_packing, op10_pii)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k,
+        op6_token_counts, op7_passages, op8_token_files, op9_packing, op10_pii,
+    )
+}
 ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL}
