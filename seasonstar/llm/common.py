@@ -14,7 +14,7 @@ from seasonstar.sources.scratch import scratch_path
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that Python code works on at once, so that memory does not follow the length of an Arrow batch.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,8 +13,8 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Distinct units and distinct pre-tokens that a worker keeps.
-KEPT_UNITS = 500_000
-KEPT_PIECES = 250_000
+KEPT_UNITS = 300_000
+KEPT_PIECES = 200_000
 
 _TWO_WHITE = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
