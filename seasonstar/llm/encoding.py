@@ -11,6 +11,8 @@ import re
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct units and distinct pre-tokens that a worker keeps.
 KEPT_UNITS = 300_000
@@ -21,47 +23,37 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _workers: dict[tuple[str, str], "Encoder"] = {}
 
 
-def word_units(text: str) -> list[bytes]:
-    """For vocabularies that drop white space: the stretches between ASCII white space."""
-    return text.encode().split()
+def word_units(texts: list[str | None]) -> pa.ListArray:
+    """For vocabularies that drop white space: the stretches between ASCII white space of each text, empty ones at its ends."""
+    return pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.string()))
 
 
-def spaced_units(text: str) -> list[bytes]:
+def spaced_units(texts: list[str | None]) -> pa.ListArray:
     """For byte-level vocabularies, whose pre-tokens may start with one space.
 
-    A space is cut before where it stands between two characters that are no white space. A single line break
-    is a pre-token of its own, so a cut before it is safe as well. Units after the first carry no space here;
-    one that starts with neither white space nor the null mark had one before it.
+    A space is cut before where it stands between two characters that are no white space. A single line break is a
+    pre-token of its own, so a cut before it is safe as well. A text with a null character is one unit.
     """
-    if _TWO_WHITE.search(text) or "\0" in text or text[0].isspace():
-        first, *rest = _SAFE_SPACE.split(text)
-        return [b"\0" + first.encode(), *(b"\0 " + x.encode() for x in rest)]
-    units = (b"\0" + text.encode()).replace(b"\n", b" \n").split(b" ")
-    if not units[-1]:
-        units[-1] = b"\0 "
-    return units
+    def marked(text: str) -> str:
+        if _TWO_WHITE.search(text):
+            return _SAFE_SPACE.sub("\0 ", text)
+        return text.replace("\n", "\0\n").replace(" ", "\0 ")
 
-
-def word_text(unit: bytes) -> str:
-    return unit.decode()
-
-
-def spaced_text(unit: bytes) -> str:
-    """The stretch of text that a unit stands for."""
-    if unit[:1] == b"\0":
-        return unit[1:].decode()
-    return unit.decode() if unit[:1] == b"\n" else " " + unit.decode()
+    whole = {i: t for i, t in enumerate(texts) if t and "\0" in t}
+    if not whole:
+        return pc.split_pattern(pa.array([marked(t or "") for t in texts], pa.string()), "\0")
+    return pa.array([[t] if i in whole else marked(t or "").split("\0") for i, t in enumerate(texts)], pa.list_(pa.string()))
 
 
 #: How texts are cut; pre-tokens of units made of ASCII and Latin-1 letters only. Other units take the library's own path.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 KINDS = {
     "words": (
-        word_units, word_text, re.compile(rf"[!-~{_LETTERS}]+"), str.lower,
+        word_units, re.compile(rf"[^\0!-~{_LETTERS}]"), str.lower,
         re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s\0{_LETTERS}0-9]+|\0"),
     ),
     "spaced": (
-        spaced_units, spaced_text, re.compile(rf"[ \n]?[!-~{_LETTERS}]+"), str,
+        spaced_units, re.compile(rf"[^\0 \n!-~{_LETTERS}]|[ \n](?=[ \n\0]|$)"), str,
         re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s\0{_LETTERS}0-9]+|[\s\0]"),
     ),
 }
@@ -145,7 +137,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut, self.text_of, self.plain, self.fold, self.pieces = KINDS[kind]
+        self.cut, self.odd, self.fold, self.pieces = KINDS[kind]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.units, self.known = Store(KEPT_UNITS), Store(KEPT_PIECES)
@@ -158,37 +150,47 @@ class Encoder:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
-    def _unit_ids(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [self.text_of(u) for u in units]
-        usual = [bool(self.plain.fullmatch(t)) and not ("<" in t and any(s in t for s in self.special)) for t in texts]
+    def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = "\0".join(units)
+        usual = np.ones(len(units), bool)
         lengths = np.zeros(len(units), np.int64)
-        joined = "\0".join([t for t, u in zip(texts, usual) if u])
+        strange = joined.count("\0") != len(units) - 1 or "\0\0" in joined or joined[:1] == "\0"
+        if strange or self.odd.search(joined) or any(x in joined for x in self.special):
+            odd = [not t or "\0" in t or bool(self.odd.search(t)) or any(x in t for x in self.special) for t in units]
+            usual = ~np.array(odd)
+            joined = "\0".join([t for t, o in zip(units, odd) if not o])
         pieces = self.pieces.findall(self.fold(joined))
         borders = np.fromiter((p == "\0" for p in pieces), bool, len(pieces))
         inner = [p for p in pieces if p != "\0"]
         which = self.known.look_up(inner, self._piece_ids)
         ids = self.known.values(which)
         owner = np.cumsum(borders)[~borders]
-        lengths[usual] = np.bincount(owner, self.known.count[which], minlength=sum(usual)).astype(np.int64)
-        if all(usual):
+        n = int(usual.sum())
+        lengths[usual] = np.bincount(owner, self.known.count[which], minlength=n).astype(np.int64)[:n]
+        if usual.all():
             return ids, lengths
-        others = [self.tokenizer.encode(t, add_special_tokens=False).ids for t, u in zip(texts, usual) if not u]
-        lengths[~np.array(usual)] = [len(x) for x in others]
+        others = [self.tokenizer.encode(t, add_special_tokens=False).ids for t, o in zip(units, odd) if o]
+        lengths[~usual] = [len(x) for x in others]
         out = np.empty(int(lengths.sum()), np.uint32)
-        mine = np.repeat(np.array(usual), lengths)
+        mine = np.repeat(usual, lengths)
         out[mine], out[~mine] = ids, np.fromiter(chain.from_iterable(others), np.uint32)
         return out, lengths
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text. A null text is empty."""
-        units = [self.cut(t) if t else [] for t in texts]
-        numbers = np.fromiter(map(len, units), np.int64, len(units))
-        which = self.units.look_up(list(chain.from_iterable(units)), self._unit_ids)
+        which, numbers = numbered(self.cut(texts), self.units, self._unit_ids)
         sums = np.concatenate([[0], np.cumsum(self.units.count[which])])
         ends = np.cumsum(numbers)
         return self.units.values(which), sums[ends] - sums[ends - numbers]
 
 
+def numbered(units: pa.ListArray, known: Store, learn) -> tuple[np.ndarray, np.ndarray]:
+    """The store's numbers of all units in a row, and how many each text has. Each distinct unit is looked up once."""
+    flat = units.flatten().dictionary_encode()
+    which = known.look_up(flat.dictionary.to_pylist(), learn)
+    return which[flat.indices.to_numpy()], pc.list_value_length(units).to_numpy().astype(np.int64)
+
+
 def encoder(path: str, kind: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     key = (path, kind)

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from seasonstar.llm.common import text_slices
-from seasonstar.llm.encoding import KEPT_UNITS, Store, word_units
+from seasonstar.llm.encoding import KEPT_UNITS, Store, numbered, word_units
 
 #: What a word starts with in the vocabulary, for the white space before it.
 SPACE = "▁"
@@ -89,18 +89,22 @@ class Counter:
     def __init__(self, path: str):
         self.trie, self.ends = Trie(piece_costs(path)), Store(KEPT_UNITS)
 
-    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        counts = [self.trie.count(SPACE + w.decode()) for w in words]
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        counts = [self.trie.count(SPACE + w) if w else 0 for w in words]
         return np.array(counts, np.uint32), np.ones(len(words), np.int64)
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Words and tokens of each text."""
-        units = [word_units(t) if t else [] for t in texts]
-        n_words = np.fromiter(map(len, units), np.int64, len(units))
-        which = self.ends.look_up(list(chain.from_iterable(units)), self.learn)
-        sums = np.concatenate([[0], np.cumsum(self.ends.flat[self.ends.start[which]].astype(np.int64))])
-        ends = np.cumsum(n_words)
-        return n_words, sums[ends] - sums[ends - n_words]
+        units = word_units(texts)
+        which, numbers = numbered(units, self.ends, self.learn)
+        ends = np.cumsum(numbers)
+        filled = pc.not_equal(pc.binary_length(units.flatten()), 0).to_numpy(zero_copy_only=False)
+
+        def totals(values: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+            return sums[ends] - sums[ends - numbers]
+
+        return totals(filled), totals(self.ends.flat[self.ends.start[which]])
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:

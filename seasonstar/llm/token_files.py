@@ -71,10 +71,10 @@ def id_counts(ids: DataFrame, wide: str, end_id: int) -> DataFrame:
     """How often each id occurs. One row per id and task is shuffled."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(end_id + 1, np.int64)
-        for batch in batches:
-            for value in batch.column("ids"):
-                some = np.bincount(np.frombuffer(value.as_buffer(), wide), minlength=len(counts))
-                counts = some + np.pad(counts, (0, len(some) - len(counts)))
+        for batch in text_slices(batches, "ids"):
+            values = np.frombuffer(b"".join(batch.column("ids").to_pylist()), wide)
+            some = np.bincount(values, minlength=len(counts))
+            counts = some + np.pad(counts, (0, len(some) - len(counts)))
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
 
