@@ -109,7 +109,7 @@ def landed_upsert(spark, sf):
     events = table(spark, sf, "events").select(
         F.to_date("ts").alias("event_date"), "user_id", "event_id", "event_type", "value"
     )
-    is_click = F.col("event_type") == "click"
+    is_click = F.col("event_type").eqNullSafe("click")
     order = [is_click.desc(), F.col("event_id").desc()]
     keys = ["event_date", "user_id"]
     land(events.where(~is_click), path, ["event_date"])
@@ -126,7 +126,7 @@ def stream_landing(spark, sf):
     """Two arrivals of files, each picked up once by an incremental stream; the latest row per key wins."""
     source, target, mark = (scratch_path(spark, n) for n in ("arrivals", "landed", "mark"))
     events = table(spark, sf, "events")
-    is_click = F.col("event_type") == "click"
+    is_click = F.col("event_type").eqNullSafe("click")
     for arrival in (~is_click, is_click):
         events.where(arrival).write.mode("append").parquet(source)
         land_new_files(spark, source, events.schema, target, mark, file_format="parquet")

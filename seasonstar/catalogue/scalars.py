@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from seasonstar.catalogue.base import FULL_DAYS, WET_AMOUNT, amounts, area_days, areas, daily_orders, levels, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
+from seasonstar.fixed_values import MONTH_NAMES, MONTH_SHORT_NAMES, SEASONS
 from seasonstar.functions.aggregates import any_present
 from seasonstar.functions.calendar import (
     date_spine, dim_date as build_dim_date, hydro_year, iso_week_end, parse_day, season, utc_date,
@@ -72,8 +73,8 @@ def area_code_in_sql(spark, sf):
 
 
 @query(
-    """SELECT d AS day,
-              ['Vinter','Vår','Sommer','Høst'][1 + CAST(floor((month(d) % 12) / 3) AS INTEGER)] AS season,
+    f"""SELECT d AS day,
+              {SEASONS}[1 + CAST(floor((month(d) % 12) / 3) AS INTEGER)] AS season,
               CAST(year(d - INTERVAL 9 MONTH) AS INTEGER) AS hydro_year
        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
 )
@@ -270,18 +271,18 @@ def date_spine_of_data(spark, sf):
 @query(
     """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year,
               CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
-              split_part('Januar,Februar,Mars,April,Mai,Juni,Juli,August,September,Oktober,November,Desember', ',',
-                         CAST(month(d) AS INTEGER)) AS month_name,
-              split_part('Jan,Feb,Mar,Apr,Mai,Jun,Jul,Aug,Sep,Okt,Nov,Des', ',', CAST(month(d) AS INTEGER)) AS month_short,
+              {months}[month(d)] AS month_name, {short_months}[month(d)] AS month_short,
               CAST(day(d) AS INTEGER) AS day_of_month, CAST(isodow(d) AS INTEGER) AS iso_day_of_week,
               CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(strftime(d, '%G') AS INTEGER) AS iso_year,
               CAST(strftime(d, '%V') AS INTEGER) AS iso_week, CAST(strftime(d, '%G%V') AS INTEGER) AS iso_year_week,
               CAST(date_trunc('week', d) + INTERVAL 6 DAY AS DATE) AS week_end_date,
-              split_part('Vinter,Vår,Sommer,Høst', ',', CAST(month(d) % 12 // 3 + 1 AS INTEGER)) AS season,
+              {seasons}[month(d) % 12 // 3 + 1] AS season,
               CAST(year(d - INTERVAL 9 MONTH) AS INTEGER) AS hydro_year
        FROM (SELECT CAST(s AS DATE) AS d
              FROM generate_series((SELECT CAST(MIN(o_orderdate) AS DATE) - 6 FROM orders), DATE '2001-12-31',
-                                  INTERVAL 1 DAY) AS g(s))"""
+                                  INTERVAL 1 DAY) AS g(s))""".format(
+        months=MONTH_NAMES, short_months=MONTH_SHORT_NAMES, seasons=SEASONS
+    )
 )
 def dim_date(spark, sf):
     first = table(spark, sf, "orders").select(F.to_date(F.min("o_orderdate"))).scalar()

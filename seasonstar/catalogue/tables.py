@@ -86,7 +86,7 @@ def surrogate_key(spark, sf):
 )
 def surrogate_key_large(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    return number_rows(customer, [F.col("c_acctbal").asc_nulls_last(), F.col("c_custkey")], "customer_key", large=True)
+    return number_rows(customer, [F.col("c_acctbal").asc_nulls_last(), F.col("c_custkey")], "customer_key")
 
 
 @query(
@@ -212,7 +212,7 @@ def _dated_events(spark, sf):
 def upsert_latest(spark, sf):
     """Clicks arrive as a later batch with one more column and replace older rows of their key."""
     events = _dated_events(spark, sf)
-    is_click = F.col("event_type") == "click"
+    is_click = F.col("event_type").eqNullSafe("click")
     revised = events.where(is_click).withColumn("batch", F.lit("revision"))
     return upsert(events.where(~is_click), revised, ["user_id", "event_date"], _newest())
 

@@ -7,22 +7,15 @@ from pyspark.sql import functions as F
 
 from seasonstar.sources.scratch import freeze
 
-SMALL_DIM_ROWS = 100_000
-
 _PART_SHIFT = 33  # monotonically_increasing_id keeps the partition above bit 33, the position below
 
 
-def surrogate_key(df: DataFrame, order: list[Column], name: str, large: bool | None = None) -> DataFrame:
+def surrogate_key(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Dense key 1, 2, 3 … in `order` (which must be total).
 
-    Up to SMALL_DIM_ROWS rows are numbered by one window, which sorts in a single task. Larger tables
-    are range-partitioned on `order`; positions inside each range are frozen in the shared folder and
-    shifted by the number of rows in the ranges before. `large` skips the size check.
+    The table is range-partitioned on `order`; positions inside each range are frozen in the shared folder and
+    shifted by the number of rows in the ranges before. The plan is the same for any number of rows.
     """
-    if large is None:
-        large = df.limit(SMALL_DIM_ROWS + 1).count() > SMALL_DIM_ROWS
-    if not large:
-        return df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(name), "*")
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -46,8 +46,3 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def freeze_if_possible(df: DataFrame, label: str) -> DataFrame:
-    """`freeze`, or the plan as it is where no shared folder is named: same rows, computed per consumer."""
-    return df if shared_dir(df.sparkSession) is None else freeze(df, label)

@@ -181,7 +181,7 @@ def test_surrogate_key_both_ways(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v"), F.when(F.col("id") % 10 != 0, "x").alias("s")).repartition(7)
     order = [F.col("s").asc_nulls_last(), F.col("v")]
     small = rows(dims.surrogate_key(df, order, "k"))
-    large = rows(dims.surrogate_key(df, order, "k", large=True))
+    large = rows(dims.surrogate_key(df, order, "k"))
     assert small == large and sorted(r[0] for r in small) == list(range(1, 5001))
 
 

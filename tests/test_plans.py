@@ -126,7 +126,7 @@ def test_dedup_and_keys_do_not_depend_on_partitioning(spark):
 
     def result(n):
         once = staging.dedup_latest(events.repartition(n), ["user_id"], order)
-        return sorted(map(repr, dims.surrogate_key(once, [F.col("user_id")], "k", large=True).collect()))
+        return sorted(map(repr, dims.surrogate_key(once, [F.col("user_id")], "k").collect()))
 
     assert result(1) == result(5)
 
