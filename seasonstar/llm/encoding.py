@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct units and distinct pre-tokens that a worker keeps.
-KEPT_UNITS = 300_000
-KEPT_PIECES = 200_000
+KEPT_UNITS = 200_000
+KEPT_PIECES = 150_000
 
 _TWO_WHITE = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")

@@ -19,7 +19,7 @@ SPACE = "▁"
 UNIT = 1_000_000
 BYTE_COST = 20 * UNIT
 #: Nodes after which the trie starts anew; counts already stored stay.
-MAX_NODES = 400_000
+MAX_NODES = 250_000
 
 _COUNTS = "doc_id long, n_words long, n_tokens long"
 _workers: dict[str, "Counter"] = {}
