@@ -9,9 +9,9 @@ from seasonstar.catalogue.base import amounts, daily_orders, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
 from seasonstar.functions.calendar import parse_day
-from seasonstar.operators.staging import dedup_latest, series_from_array
+from seasonstar.operators.staging import dedup_latest, latest_first, series_from_array
 from seasonstar.sources.incremental import land, upsert_partitions
-from seasonstar.sources.readers import SOURCE_FILE, read_json, read_seed
+from seasonstar.sources.readers import LOADED_AT, SOURCE_FILE, read_json, read_seed
 from seasonstar.sources.scratch import scratch_path
 from seasonstar.streaming.landing import land_new_files, latest_landed
 
@@ -38,6 +38,18 @@ def landed_json_scan(spark, sf):
     )
 
 
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN value + 1 ELSE value - 1 END AS value FROM events")
+def later_file_wins(spark, sf):
+    """Events landed twice, half of them with a larger value the second time and half with a smaller one."""
+    path = scratch_path(spark, "revised")
+    events = table(spark, sf, "events").select("event_id", "value")
+    revised = F.when(F.col("event_id") % 2 == 0, F.col("value") + 1).otherwise(F.col("value") - 1)
+    events.write.json(path)
+    events.withColumn("value", revised).write.mode("append").json(path)
+    rows = read_json(spark, path, events.schema, multiline=False).select("event_id", "value", LOADED_AT)
+    return dedup_latest(rows, ["event_id"], latest_first(rows, LOADED_AT)).drop(LOADED_AT)
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def seed_csv_scan(spark, sf):
     """Customers written as CSV with a header and read as a seed."""

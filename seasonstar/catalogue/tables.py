@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from seasonstar.catalogue.base import areas, daily_orders, frozen_days, levels, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
-from seasonstar.functions.numeric import exact_sum, from_units, to_units
+from seasonstar.functions.numeric import exact_sum, from_units, sum_of_means, to_units
 from seasonstar.operators import quality
 from seasonstar.operators.dims import area_dim, surrogate_key as number_rows
 from seasonstar.operators.joins import keep_all, lookup
@@ -22,6 +22,15 @@ from seasonstar.sources.readers import union_by_name as by_name
 ALL_ROW = {"area_code": "ALL", "sort_order": -1}
 
 
+@query("SELECT l_orderkey, CAST(SUM(l_quantity) AS DOUBLE) AS quantity FROM lineitem GROUP BY l_orderkey")
+def sum_below_half(spark, sf):
+    """Sums that end in .4996 round down: each line carries its share of 0.4996 besides its whole quantity."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").cast("double").alias("quantity"))
+    shares = lines.join(lines.groupBy("l_orderkey").agg(F.count("*").alias("n")), "l_orderkey")
+    value = F.col("quantity") + F.lit(0.4996) / F.col("n")
+    return shares.groupBy("l_orderkey").agg(sum_of_means(value, 0).alias("quantity"))
+
+
 @query(
     """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment
        FROM customer

@@ -101,12 +101,12 @@ def ytd_to_same_month_day(spark, sf):
                    MAX(iso_week) AS last_week
                FROM fact GROUP BY ALL),
         total AS (SELECT area_code, year(obs_date) AS y,
-                   ROUND(ROUND(CAST(SUM(CAST(ROUND(precip_mm, 6) AS DECIMAL(28,6))) AS DOUBLE), 3), 0) AS total_precip_mm,
+                   CAST(ROUND(ROUND(SUM(CAST(ROUND(precip_mm, 9) AS DECIMAL(38,9))), 6), 0) AS DOUBLE) AS total_precip_mm,
                    ROUND(MAX(precip_mm), 1) AS max_day_precip_mm,
-                   ROUND(ROUND(CAST(SUM(CAST(ROUND(wet_day_share, 6) AS DECIMAL(28,6))) AS DOUBLE), 3), 0) AS wet_days
+                   CAST(ROUND(ROUND(SUM(CAST(ROUND(wet_day_share, 9) AS DECIMAL(38,9))), 6), 0) AS DOUBLE) AS wet_days
                 FROM area_days GROUP BY ALL),
         ytd AS (SELECT area_code, year(obs_date) AS y,
-                   ROUND(ROUND(CAST(SUM(CAST(ROUND(precip_mm, 6) AS DECIMAL(28,6))) AS DOUBLE), 3), 0) AS precip_ytd_mm
+                   CAST(ROUND(ROUND(SUM(CAST(ROUND(precip_mm, 9) AS DECIMAL(38,9))), 6), 0) AS DOUBLE) AS precip_ytd_mm
                 FROM area_days WHERE dayofyear(obs_date) <= (SELECT dayofyear(MAX(obs_date)) FROM area_days)
                 GROUP BY ALL),
         years AS (

@@ -22,7 +22,7 @@ SOURCES = ("nve", "precip", "frost")
 
 @dataclass(frozen=True)
 class Raw:
-    """The raw layer: landed rows as they are, plus load time and source file."""
+    """The raw layer: landed rows as they are, plus the time their file landed and its path."""
 
     level: DataFrame
     benchmark: DataFrame
@@ -241,8 +241,8 @@ def precipitation_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     station to fit in a task. Otherwise the days are unfolded first and shuffled by station and day,
     after each task has dropped what it can, so that a station with very many copies is spread.
 
-    Among values loaded at the same time the smallest wins; the file path is left behind, as it would be
-    most of what the shuffle carries.
+    The value of the file that landed last wins, and the smallest among files that landed in the same
+    millisecond; the file path is left behind, as it would be most of what the shuffle carries.
     """
     both = grid_daily(raw, by_station).unionByName(observed_daily(raw, by_station))
     kept = both.where(F.col("precip_mm").isNotNull())

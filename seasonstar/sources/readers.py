@@ -16,8 +16,10 @@ SOURCE_FILE = "_source_file"
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Add the load time (one value per query) and the file each row came from."""
-    return df.select("*", F.current_timestamp().alias(LOADED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """Add the time each row's file landed and the file itself, so that a later file counts as newer."""
+    return df.select(
+        "*", F.col("_metadata.file_modification_time").alias(LOADED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE)
+    )
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = True) -> DataFrame:

@@ -82,5 +82,7 @@ def test_sums_do_not_depend_on_order(spark):
         return sorted(map(tuple, out.collect()))
 
     assert result(1) == result(3) == result(13)
+    below = spark.createDataFrame([(12.0,), (0.4996,)], "x double")
+    assert below.agg(numeric.sum_of_means("x", 0)).first()[0] == 12.0
     for k, s, _, _ in result(2):
         assert s == sum(round(x * 100) for key, x in rows if key == k) / 100

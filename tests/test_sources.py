@@ -21,7 +21,7 @@ def test_json_array_lineage_and_missing_fields(spark, tmp_path):
     got = readers.read_json(spark, str(tmp_path / "*.json"), schemas.AREA).orderBy("navn").collect()
     assert [(r.navn, r.omrnr, r.beskrivelse) for r in got] == [("NO 1", 1, None), ("Ø", None, None)]
     assert all(r._source_file.endswith("a.json") and r._loaded_at is not None and r._corrupt_record is None for r in got)
-    assert len({r._loaded_at for r in got}) == 1
+    assert len({r._loaded_at for r in got}) == 1  # the rows of one file
 
 
 def test_corrupt_record_is_kept_as_text(spark, tmp_path):
