@@ -348,6 +348,27 @@ def test_planted_passages_are_found(spark, none):
     assert rows_of(passages.near_duplicate_passages(none)) == []
 
 
+def test_passages_meet_behind_shortened_versions(spark):
+    rng = np.random.default_rng(21)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    def key(t):
+        return int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+
+    shared = text(60)
+    whole = sorted((" ".join(text(60) + shared + text(60)) for _ in range(40)), key=key)[-2:]
+    parts = [" ".join(text(60) + shared[i % 17 : i % 17 + 44] + text(60)) for i in range(408)]  # all kinds in each task
+    parts = [p for p in parts if key(p) < key(whole[0])]  # they sort first in each group
+    assert len(parts) > 100
+    rows = [(i, t, "s") for i, t in enumerate(parts + whole)]
+    found = passages.near_duplicate_passages(frame(spark, rows)).collect()
+    ends = {len(parts), len(parts) + 1}
+    assert [{r["doc_id"], r["of_doc_id"]} for r in found] == [ends]
+    assert (found[0]["start"], found[0]["n_words"], found[0]["similarity"]) == (60, 60, 1.0)
+
+
 # token files
 
 
