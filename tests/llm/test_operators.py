@@ -369,6 +369,33 @@ def test_passages_meet_behind_shortened_versions(spark):
     assert (found[0]["start"], found[0]["n_words"], found[0]["similarity"]) == (60, 60, 1.0)
 
 
+def test_close_passages_that_lie_apart_in_the_other_text():
+    rng = np.random.default_rng(31)
+
+    def text(n):
+        return rng.integers(1, 1 << 62, n).astype(np.uint64)
+
+    def edited(p):
+        return np.concatenate([p[:30], text(1), p[31:]])
+
+    def spans(a, b):
+        return [(x, y) for x, _, y, _, _ in sorted(passages.common_passages(passages.shingles(a), passages.shingles(b)))]
+
+    p, q, short = text(60), text(60), text(24)
+    a, b = np.concatenate([text(90), p, q, text(90)]), np.concatenate([text(90), edited(p), text(70), edited(q), text(90)])
+    assert spans(a, b) == [(90, 90), (150, 220)]
+    assert spans(b, a) == [(90, 90), (220, 150)]
+    # other shared wording nearer than the gap, before the passage in one text and after it in the other
+    a, b = np.concatenate([text(90), p, text(6), short, text(90)]), np.concatenate([text(90), short, text(6), edited(p), text(90)])
+    assert len(spans(a, b)) == len(spans(b, a)) == 1
+    # nearer than the changed word within the passage
+    a, b = np.concatenate([text(90), p, short, text(90)]), np.concatenate([text(90), short, edited(p), text(90)])
+    assert len(spans(a, b)) == len(spans(b, a)) == 1
+    # every stretch of b counts once a part of a is left
+    a, b = np.concatenate([p, q]), np.concatenate([q, text(40), p, text(40), q])
+    assert [x for x, _ in spans(a, b)] == [0, 60]
+
+
 # token files
 
 
