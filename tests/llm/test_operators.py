@@ -396,6 +396,21 @@ def test_close_passages_that_lie_apart_in_the_other_text():
     assert [x for x, _ in spans(a, b)] == [0, 60]
 
 
+def test_short_near_passages_share_a_signature():
+    rng = np.random.default_rng(5)
+
+    def text(n):
+        return rng.integers(1, 1 << 62, n).astype(np.uint64)
+
+    shared = 0
+    for _ in range(1000):
+        p = text(50)
+        q = np.concatenate([p[:25], text(1), p[26:]])
+        a, b = (passages.anchors(passages.shingles(np.concatenate([text(150), x, text(150)])))[0] for x in (p, q))
+        shared += bool(np.isin(a, b).any())
+    assert shared >= 985
+
+
 # token files
 
 
