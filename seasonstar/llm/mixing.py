@@ -51,6 +51,13 @@ def _bucket(finish: Column) -> Column:
 
 def mix(
     docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix"
+) -> DataFrame:
+    """How many words a mix takes of each document, as `decide` says, without the hash of the text."""
+    return decide(docs, weights, share, most, seed).drop("text_hash")
+
+
+def decide(
+    docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix"
 ) -> DataFrame:
     """How many words a mix takes of each document: one row per row of `docs`.
 
@@ -64,12 +71,12 @@ def mix(
     with the end of the budget is sorted.
 
     `docs` needs `doc_id`, `text`, `source`. A null or blank text has size 0 and is not taken. A null source is a source,
-    the last; a null `doc_id` is hashed as an empty one. Rows equal in `doc_id`, size and source are interchangeable. No
-    rows give no rows. Result: doc_id, source, size, source_size, target, taken.
+    the last; a null `doc_id` is hashed as an empty one. Rows equal in `doc_id`, source and text are interchangeable. No
+    rows give no rows. Result: doc_id, source, text_hash, size, source_size, target, taken.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    sizes = docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
+    sizes = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size.alias("size"), key.alias("key"))
     sizes = store(sizes.withColumn("block", F.substring("key", 1, 3)), "mix-sizes")
 
     source = targets(sizes, weights, share, most)
@@ -79,7 +86,7 @@ def mix(
     blocks = blocks.select(
         F.col("of"), F.col("block").alias("at"), "source_no", "source_size", "target", before.alias("before")
     )
-    inner = Window.partitionBy("source_no", "block").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("source_no", "block").orderBy("key", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.join(blocks, F.col("of").eqNullSafe(F.col("source")) & (F.col("at") == F.col("block")))
     placed = placed.withColumn("reached", F.col("before") + F.sum("size").over(inner))
     placed = store(placed.drop("of", "at", "before", "block"), "mix-placed")
@@ -96,7 +103,7 @@ def mix(
     end = served.filter(F.col("upto") > budget).orderBy("bucket").first()
     if end is None:
         taken = F.when(live, F.col("size") * most).otherwise(0)
-        return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+        return placed.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken"))
     order = ("finish", "source_no", "turn", "key", "doc_id", "size")
     last = (
         turns.filter(F.col("bucket") == end["bucket"])
@@ -123,18 +130,23 @@ def mix(
 
     times = sum((F.when(within(t), 1).otherwise(0) for t in range(most)), F.lit(0))
     taken = F.when(live, F.col("size") * times).otherwise(0)
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def apply_mix(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it. Rows with the same `doc_id`, source and size get the larger number."""
+    """The rows of `docs`, each as often as the mix takes it. Rows with the same `doc_id`, source and text get the larger number.
+
+    Decisions without a hash of the text, as `mix` gives them, tell texts apart by their size only.
+    """
+    by_text = "text_hash" in decisions.columns
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+    marked = docs.withColumn("_mark", F.xxhash64("text") if by_text else size)
     times = F.floor(F.col("taken") / F.col("size")).cast("int")
-    times = decisions.filter("taken > 0").groupBy("doc_id", "source", "size").agg(F.max(times).alias("_times"))
-    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_times")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    times = times.groupBy("_id", "_source").agg(F.max("_times").alias("_times"))
-    out = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return out.select(*(docs[c] for c in docs.columns))
+    key = F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash" if by_text else "size").alias("_of")
+    times = decisions.filter("taken > 0").groupBy(*key).agg(F.max(times).alias("_times"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_mark") == F.col("_of"))
+    out = marked.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return out.select(*(marked[c] for c in docs.columns))
 
 
 #: The same mix as one SQL statement.

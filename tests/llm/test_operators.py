@@ -96,6 +96,20 @@ def test_mix_empty_and_applied(spark, docs, none):
             assert times[doc_id] == n // words
 
 
+def test_mix_of_texts_with_one_id(spark):
+    rows = [(None if i % 2 else 7, f"same id {i} " + "word " * (i % 9), "b") for i in range(60)]
+    docs = frame(spark, rows + [(200 + i, "many words " * 20, "a") for i in range(40)])
+    taken = mixing.decide(docs)
+    want = collections.Counter()
+    for r in taken.collect():
+        if r["taken"]:
+            want[r["doc_id"], r["source"], r["text_hash"]] += r["taken"] // r["size"]
+    got = collections.Counter(
+        tuple(r) for r in mixing.apply_mix(docs, taken).select("doc_id", "source", F.xxhash64("text")).collect()
+    )
+    assert got == want and len({want.get((r["doc_id"], r["source"], r["text_hash"]), 0) for r in taken.collect() if r["source"] == "b"}) > 1
+
+
 # SimHash
 
 
