@@ -225,8 +225,31 @@ _BLOCK_TYPES = [
 ]
 
 
-def _one_row(values: Sequence, types: Sequence[pa.DataType], names: Sequence[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=list(names))
+#: Rows that are turned into Python values, and into a batch, at once; a batch ends earlier at `BLOCK_CHARS`.
+READ_ROWS, WRITTEN_ROWS = 64, 1024
+
+
+def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, READ_ROWS):
+            yield from batch.slice(start, READ_ROWS).to_pylist()
+
+
+def _written(rows: Iterable[tuple[int, tuple]], types: Sequence[pa.DataType], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows, each given with its size in characters."""
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=list(names))
+
+    for chars, row in rows:
+        held.append(row)
+        size += chars
+        if len(held) >= WRITTEN_ROWS or size >= BLOCK_CHARS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def _names(schema: str) -> list[str]:
@@ -241,10 +264,10 @@ def blocks(turns: DataFrame) -> DataFrame:
     order = ["conv_id", "turn", "role_head", "text_head", "digest", "nth"]
     dealt = _flagged(turns).repartitionByRange(*order).sortWithinPartitions(*order)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         number, size, held = TaskContext.get().partitionId() << 33, 0, []
 
-        def closed() -> pa.RecordBatch:
+        def closed() -> tuple[int, tuple]:
             codes = bytes(r["code"] for r in held)
             known = [r["turn"] for r in held if r["turn"] is not None]
             step = block_step(codes)
@@ -254,7 +277,7 @@ def blocks(turns: DataFrame) -> DataFrame:
                 len(set(known)), [_NEVER if w is None else w[0] for s in step for w in s], [0 if w is None else w[1] for s in step for w in s],
             )
             held.clear()
-            return _one_row(row, _BLOCK_TYPES, _names(_BLOCKS))
+            return size, row
 
         for batch in text_slices(batches):
             for row in batch.select(["conv_id", "turn", "role", "text", "code", "blank"]).to_pylist():
@@ -266,6 +289,9 @@ def blocks(turns: DataFrame) -> DataFrame:
         if held:
             yield closed()
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _written(cut(batches), _BLOCK_TYPES, _names(_BLOCKS))
+
     return dealt.mapInArrow(run, _BLOCKS)
 
 
@@ -312,25 +338,24 @@ _PIECES = (
 
 def _pieces(found: DataFrame) -> DataFrame:
     """The edits and repaired text of each block."""
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), *[pa.int64()] * 9]
+
+    def piece(r: dict) -> tuple[int, tuple]:
+        codes, step = r["codes"], _steps(r["costs"], r["ranks"])
+        start, stop = r["start"], r["stop"]
+        if start is None:  # the only block of its conversation
+            start, stop = 0, last_state(*zip(*((w or (_NEVER, 0)) for w in step[0])))
+        edits = block_audit(codes, start, stop)
+        said = list(_applied(edits, iter(zip(r["roles"], r["texts"])), start))
+        text, kinds = "\n".join(said), [c // 3 for c in codes]
+        return len(text), (
+            r["conv_id"], r["block"], text, "".join(edits), bool(said), kinds[0], kinds[-1],
+            sum(pair not in _LEGAL for pair in zip(kinds, kinds[1:])), r["n_blank"], r["n_deleted"] - r["n_blank"],
+            sum(c % 3 == 2 for c in codes), r["min_turn"], r["max_turn"], r["n_turns"], step[start][stop][0], stop,
+        )
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), *[pa.int64()] * 9]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                codes, step = r["codes"], _steps(r["costs"], r["ranks"])
-                start, stop = r["start"], r["stop"]
-                if start is None:  # the only block of its conversation
-                    start, stop = 0, last_state(*zip(*((w or (_NEVER, 0)) for w in step[0])))
-                edits = block_audit(codes, start, stop)
-                said = list(_applied(edits, iter(zip(r["roles"], r["texts"])), start))
-                kinds = [c // 3 for c in codes]
-                illegal = sum(pair not in _LEGAL for pair in zip(kinds, kinds[1:]))
-                row = (
-                    r["conv_id"], r["block"], "\n".join(said), "".join(edits), bool(said), kinds[0], kinds[-1], illegal,
-                    r["n_blank"], r["n_deleted"] - r["n_blank"], sum(c % 3 == 2 for c in codes),
-                    r["min_turn"], r["max_turn"], r["n_turns"], step[start][stop][0], stop,
-                )
-                yield _one_row(row, types, _names(_PIECES))
+        return _written(map(piece, _read(batches)), types, _names(_PIECES))
 
     return found.mapInArrow(run, _PIECES)
 
@@ -369,7 +394,7 @@ class _Closing:
         self.audit.append(r["audit"])
         self.state = r["stop"]
 
-    def row(self) -> tuple:
+    def row(self) -> tuple[int, tuple]:
         tail = _TAIL[self.state]
         for text in _applied(tail, iter(()), self.state):
             self._say(text)
@@ -377,7 +402,8 @@ class _Closing:
         c = self.counts
         cost = c["cost"] + COST["I"] * len(tail)
         audit = "".join(self.audit) + tail
-        return self.conv_id, gaps, c["blank"], c["duplicate"], c["truncated"], c["illegal"], cost, audit, self.digest.hexdigest()
+        counts = gaps, c["blank"], c["duplicate"], c["truncated"], c["illegal"], cost
+        return len(audit), (self.conv_id, *counts, audit, self.digest.hexdigest())
 
 
 def repair(turns: DataFrame) -> DataFrame:
@@ -402,19 +428,19 @@ def repair(turns: DataFrame) -> DataFrame:
     ways = _ways(found)
     parts = _pieces(found.join(ways, found["block"] == ways["way_block"], "left").drop("way_block"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [*[pa.int64()] * 7, pa.string(), pa.string()]
+    def closed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         state: _Closing | None = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                if state is None or state.conv_id != r["conv_id"]:
-                    if state is not None:
-                        yield _one_row(state.row(), types, _names(_RESULT))
-                    state = _Closing(r["conv_id"])
-                state.add(r)
+        for r in _read(batches):
+            if state is None or state.conv_id != r["conv_id"]:
+                if state is not None:
+                    yield state.row()
+                state = _Closing(r["conv_id"])
+            state.add(r)
         if state is not None:
-            yield _one_row(state.row(), types, _names(_RESULT))
+            yield state.row()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _written(closed(batches), [*[pa.int64()] * 7, pa.string(), pa.string()], _names(_RESULT))
 
     return parts.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(run, _RESULT)
 
