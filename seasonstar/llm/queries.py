@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonstar.llm import (
-    bitsliced, chat, collocations, mixing, packing, passages, pii, quality, repair, simhash, token_counts, token_files,
+    bitsliced, chat, collocations, mixing, packing, passages, pii, quality, repair, simhash, token_counts, token_files, toxicity,
 )
 from seasonstar.llm.common import store, table
 
@@ -85,6 +85,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -101,7 +107,10 @@ QUERIES = {
     for f in (
         op1_mix, op2_simhash, op3_chat, op4_quality, op5_top_k,
         op6_token_counts, op7_passages, op8_token_files, op9_packing, op10_pii,
-        op12_collocations, op13_repair,
+        op11_toxicity, op12_collocations, op13_repair,
     )
 }
-ORACLES = {"op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL, "op12_collocations": collocations.COLLOCATIONS_SQL, "op13_repair": repair.REPAIR_SQL}
+ORACLES = {
+    "op1_mix": mixing.MIX_SQL, "op3_chat": chat.CHAT_SQL, "op5_top_k": bitsliced.TOP_K_SQL,
+    "op12_collocations": collocations.COLLOCATIONS_SQL, "op13_repair": repair.REPAIR_SQL,
+}
