@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,10 +11,14 @@ from seasonstar.catalogue.base import amounts, daily_orders, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
 from seasonstar.functions.calendar import parse_day
+from seasonstar.functions.numeric import to_units
+from seasonstar.operators import quarantine
 from seasonstar.operators.staging import dedup_latest, latest_first, series_from_array
 from seasonstar.sources.incremental import land, upsert_partitions
+from seasonstar.sources.manifest import IncrementalTable
 from seasonstar.sources.readers import LOADED_AT, SOURCE_FILE, read_json, read_seed
 from seasonstar.sources.scratch import scratch_path
+from seasonstar.sources.snapshots import SnapshotTable
 from seasonstar.streaming.landing import land_new_files, latest_landed
 
 NO_DATA = -9999.0
@@ -147,3 +153,114 @@ def stream_landing(spark, sf):
     return dedup_latest(rows, ["user_id", "event_date"], order).select(
         "user_id", "event_date", "event_id", "event_type", "value"
     )
+
+
+@query(
+    """SELECT CAST(ts AS DATE) AS event_date, user_id, event_id, event_type, value
+       FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                                  ORDER BY event_type = 'click' DESC, event_id DESC) = 1"""
+)
+def snapshot_upsert(spark, sf):
+    """Clicks merged into a versioned table by day, after a writer that died before its commit."""
+    events = table(spark, sf, "events").select(
+        F.to_date("ts").alias("event_date"), "user_id", "event_id", "event_type", "value"
+    )
+    is_click = F.col("event_type").eqNullSafe("click")
+    order = [is_click.desc(), F.col("event_id").desc()]
+    days = SnapshotTable(spark, scratch_path(spark, "days"), ["event_date"])
+    days.upsert(events.where(~is_click), ["event_date", "user_id"], order)
+    days.write(events.withColumn("value", F.lit(-1.0)), "never-finished")
+    days.upsert(events.where(is_click), ["event_date", "user_id"], order)
+    return days.read().select("event_date", "user_id", "event_id", "event_type", "value")
+
+
+@query(
+    """SELECT v.version, c_nationkey, CAST(count(*) AS BIGINT) AS n_customers,
+              CAST(CASE WHEN v.version = 2 AND c_nationkey % 5 = 0 THEN 2 ELSE 1 END AS INTEGER) AS written_in
+       FROM customer, (VALUES (1), (2)) v(version)
+       WHERE v.version = 1 OR c_nationkey % 5 <> 0 OR c_custkey % 2 = 0
+       GROUP BY v.version, c_nationkey"""
+)
+def snapshot_versions(spark, sf):
+    """Customers by nation; a second version halves every fifth nation. Both versions stay readable."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nations = SnapshotTable(spark, scratch_path(spark, "nations"), ["c_nationkey"])
+    nations.replace(customer)
+    first = nations.partitions().select(F.lit(1).alias("version"), "c_nationkey", "written_in")
+    fifth = F.col("c_nationkey") % 5 == 0
+    nations.replace(customer.where(fifth & (F.col("c_custkey") % 2 == 0)), customer.where(fifth))
+    wrote = first.union(nations.partitions().select(F.lit(2).alias("version"), "c_nationkey", "written_in"))
+    rows = nations.read(1).withColumn("version", F.lit(1)).unionByName(nations.read(2).withColumn("version", F.lit(2)))
+    counted = rows.groupBy("version", "c_nationkey").agg(F.count("*").alias("n_customers"))
+    return counted.join(wrote, ["version", "c_nationkey"])
+
+
+@query(
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(count(*) AS BIGINT) AS n_orders,
+              CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)
+                       + CASE WHEN year(o_orderdate) = 1999 AND o_orderkey % 10 = 0 THEN 100 ELSE 0 END) AS BIGINT) AS cents,
+              CAST(CASE WHEN year(o_orderdate) = 1999 THEN 2 ELSE 1 END AS INTEGER) AS written_in
+       FROM orders GROUP BY year(o_orderdate)"""
+)
+def incremental_refresh(spark, sf):
+    """Orders landed by year as JSON lines; revisions of one year land later, and only that year is computed again."""
+    landing = scratch_path(spark, "landing")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice", F.year("o_orderdate").alias("folder")
+    )
+    kinds = orders.drop("folder").schema
+
+    def rows(raw):
+        return raw.select("o_orderkey", "o_totalprice", LOADED_AT, SOURCE_FILE, F.year("o_orderdate").alias("order_year"))
+
+    years = IncrementalTable(
+        spark, f"{landing}/*/*.json", scratch_path(spark, "years"),
+        read=lambda paths: read_json(spark, paths, kinds, multiline=False), rows=rows, period="order_year",
+        keys=["order_year", "o_orderkey"], order=[F.col(LOADED_AT).desc(), F.col("o_totalprice")],
+    )
+    orders.write.partitionBy("folder").json(landing)
+    years.refresh()
+    revised = orders.where("folder = 1999 and o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    revised.write.mode("append").partitionBy("folder").json(landing)
+    years.refresh()
+    sums = years.table().groupBy("order_year").agg(F.count("*").alias("n_orders"), F.sum(to_units("o_totalprice", 2)).alias("cents"))
+    return sums.join(years.facts.partitions().select("order_year", "written_in"), "order_year")
+
+
+@query(
+    """WITH r AS (SELECT o_orderkey % 50 AS damage, CAST(o_orderdate AS DATE) AS d,
+                         1 + o_orderkey % 3 - CASE WHEN o_orderkey % 50 = 3 THEN 1 ELSE 0 END AS n FROM orders),
+            f AS (SELECT damage = 1 AS truncated, damage = 2 AS undated, damage IN (3, 4) AS wrong_step,
+                         damage NOT IN (1, 2) AND d + CAST(n - 1 AS INTEGER) > DATE '2000-06-30' AS after_calendar FROM r),
+            c AS (SELECT 'truncated' AS reason, count(*) FILTER (truncated) AS n_rows FROM f
+                  UNION ALL SELECT 'undated', count(*) FILTER (undated) FROM f
+                  UNION ALL SELECT 'wrong_step', count(*) FILTER (wrong_step) FROM f
+                  UNION ALL SELECT 'after_calendar', count(*) FILTER (after_calendar) FROM f
+                  UNION ALL SELECT 'none', count(*) FILTER (NOT (truncated OR undated OR wrong_step OR after_calendar)) FROM f)
+       SELECT reason, n_rows, n_rows AS observed FROM c WHERE n_rows > 0"""
+)
+def quarantine_counts(spark, sf):
+    """Orders landed as short series, some of them damaged: rows per reason, as stored and as observed while storing."""
+    n = (1 + F.col("o_orderkey") % 3).cast("int")
+    day, damage = F.to_date("o_orderdate"), F.col("o_orderkey") % 50
+    pattern = "dd.MM.yyyy HH:mm:ss"
+    start, end = (F.date_format(d, pattern) for d in (day, F.date_add(day, n - 1)))
+    record = F.to_json(
+        F.struct(
+            F.when(damage == 2, "unknown").otherwise(start).alias("StartDate"), end.alias("EndDate"),
+            F.when(damage == 4, 60).otherwise(1440).alias("TimeResolution"),
+            F.array_repeat("o_totalprice", n - F.when(damage == 3, 1).otherwise(0)).alias("Data"),
+        )
+    )
+    path = scratch_path(spark, "damaged")
+    table(spark, sf, "orders").select(F.when(damage == 1, F.left(record, F.length(record) / 2)).otherwise(record)).write.text(path)
+    kinds = _schema("StartDate string, EndDate string, TimeResolution int, Data array<double>")
+    routed = quarantine.route(
+        read_json(spark, path, kinds, multiline=False), quarantine.series_rules(pattern, date(2000, 6, 30), step=1440)
+    )
+    kept = routed.data.agg(F.lit("none").alias("reason"), F.count("*").alias("n_rows"))
+    stored = quarantine.counts_table(routed.rejected).union(kept)
+    seen = routed.counts | {"none": routed.n_rows - routed.n_rejected}
+    observed = F.create_map(*(F.lit(x) for pair in seen.items() for x in pair))
+    return stored.where("n_rows > 0").withColumn("observed", observed[F.col("reason")].cast("long"))

@@ -61,6 +61,15 @@ class SnapshotTable:
             F.count_if(listed & (F.col(HOME) == F.col("_commit"))).alias("written"),
         )
 
+    def partitions(self) -> DataFrame:
+        """Each partition of the last version with its number of rows and the version that wrote it."""
+        found = self._listed(None)
+        if found is None:
+            raise ValueError(f"no finished commit below {self.path}")
+        heads = self._commits().where(F.col(HOME).isNull())
+        wrote = heads.select(F.col("_commit").alias(HOME), F.col(VERSION).cast("int").alias("written_in"))
+        return found[0].join(wrote, HOME).select(*self.partition_by, F.col("_rows").alias("n_rows"), "written_in")
+
     def _listed(self, version: int | None) -> tuple[DataFrame, T.StructType] | None:
         """The partitions of a version with the commits that hold them, and the table's schema."""
         version = self.latest_version() if version is None else version
