@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from seasonstar.functions.aggregates import any_present
 from seasonstar.functions.calendar import parse_day, utc_date
 from seasonstar.functions.numeric import clamp_floor, round_half_away
 from seasonstar.functions.text import area_code, part_of, pick
+from seasonstar.operators import quarantine
 from seasonstar.operators.series import gap_safe_diff
 from seasonstar.operators.staging import dedup_latest, latest_first, nested_observations, prefer_source, series_from_array
 from seasonstar.sources import schemas
@@ -76,6 +79,41 @@ def corrupt_records(raw: DataFrame) -> DataFrame:
     )
 
 
+def _rules(last_day: date) -> dict[str, dict]:
+    """What is wrong with a record of each landed source. A series is left out whole, so it may end after the calendar."""
+    corrupt = F.col(CORRUPT).isNotNull()
+
+    def dated(day) -> dict:
+        return {"truncated": corrupt, "undated": ~corrupt & day.isNull(), "after_calendar": ~corrupt & (day > F.lit(last_day))}
+
+    series = quarantine.series_rules(fixed.GRID_START_PATTERN, last_day, fixed.GRID_MINUTES_PER_STEP)
+    return {
+        "level": dated(F.col("dato_Id").try_cast("date")),
+        "grid": series | {"after_calendar": ~corrupt & (_start() > F.lit(last_day))},
+        "observation": dated(utc_date("referenceTime")),
+        **{name: {"truncated": corrupt} for name in ("benchmark", "area", "station")},
+    }
+
+
+def checked(raw: Raw, last_day: date, limit: float) -> tuple[Raw, DataFrame]:
+    """The raw layer without damaged records, and these: source, file, reasons, unread text, fields as JSON.
+
+    Each source is parsed once, on the way into the shared folder. More rejected rows of a source than the share
+    `limit` raise `quarantine.TooManyRejected`, before any table is built.
+    """
+    good, bad = {}, []
+    for source, rules in _rules(last_day).items():
+        routed = quarantine.route(getattr(raw, source), rules, limit)
+        good[source] = routed.data
+        fields = [c for c in routed.data.columns if c not in (CORRUPT, LOADED_AT, SOURCE_FILE)]
+        bad.append(
+            routed.rejected.select(
+                F.lit(source).alias("source"), SOURCE_FILE, quarantine.REASONS, CORRUPT, F.to_json(F.struct(*fields)).alias("fields")
+            )
+        )
+    return replace(raw, **good), reduce(DataFrame.unionByName, bad)
+
+
 def _code():
     return area_code("omrType", "omrnr", fixed.AREA_CODES)
 
@@ -202,7 +240,7 @@ def observed_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     """Nested observations as one row per station and day; -1 (not measurable) is 0, NULL stays NULL."""
     rows = raw.observation.withColumn("station_id", part_of("sourceId", ":", 1))
     return nested_observations(
-        rows.repartition("station_id") if by_station else rows, "observations", _wanted(F.col("o"))
+        rows.repartition("station_id") if by_station else rows, "observations", wanted_observation(F.col("o"))
     ).select(
         "station_id",
         utc_date("referenceTime").alias("obs_date"),
@@ -212,14 +250,14 @@ def observed_daily(raw: Raw, by_station: bool = False) -> DataFrame:
     )
 
 
-def _wanted(o):
+def wanted_observation(o):
     return (o["elementId"] == fixed.OBSERVATION_ELEMENT) & (o["timeOffset"] == fixed.OBSERVATION_OFFSET)
 
 
 def series_profile(raw: Raw, points: DataFrame) -> DataFrame:
     """One row: the first day with a value, and the number of values of the station that has most."""
     grid = _at_point(points, raw, "inner").select(F.col("point_id").alias("station_id"), "first_day", "n_values")
-    seen = F.exists("observations", lambda o: _wanted(o) & o["value"].isNotNull())
+    seen = F.exists("observations", lambda o: wanted_observation(o) & o["value"].isNotNull())
     observed = raw.observation.select(
         part_of("sourceId", ":", 1).alias("station_id"),
         F.when(seen, utc_date("referenceTime")).alias("first_day"),

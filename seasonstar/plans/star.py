@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from seasonstar.operators.dims import area_dim, literal_row, station_dim
 from seasonstar.operators.extremes import served_changes
 from seasonstar.operators.joins import keep_all, lookup
 from seasonstar.plans import reports, staging_plan
+from seasonstar.plans.daily_state import DailyState
 from seasonstar.plans.staging_plan import Raw
+from seasonstar.sources import schemas
+from seasonstar.sources.readers import empty_table
 
 Tables = dict[str, DataFrame]
 
@@ -135,10 +139,15 @@ def report_tables(dw: Tables) -> Tables:
 
 def build(
     spark: SparkSession, landing: str, seeds: str, as_of: date, out: str | None = None,
-    sources: set[str] | None = None, json_lines: bool = False,
+    sources: set[str] | None = None, json_lines: bool = False, limit: float | None = None, state: str | None = None,
 ) -> Tables:
     """All layers over a landing folder.
 
+    With `limit`, damaged records are left out and listed in `stg.rejected`; a larger share of them in any source stops
+    the build before a table is written. With `state`, a path that outlives the run, the daily series are kept there by
+    year: only files that landed, changed or went since the last run, and the years they feed, are parsed and written
+    again (records that can't be read are skipped there, so `limit` then looks at the other sources alone).
+
     With `out` the star schema is written there as Parquet, one folder per table, and the reports read
     the written tables; without it they stay lazy. Two things are looked up first, in one pass over the
     series: the first day with a value, and whether every station fits in a task.
@@ -151,11 +160,24 @@ def build(
         return spark.read.schema(df.schema).parquet(path)
 
     raw = staging_plan.read_raw(spark, landing, seeds, sources, json_lines)
-    points = keep(staging_plan.grid_points(raw.grid), "stg.grid_points")
-    profile = staging_plan.series_profile(raw, points).first()
-    stg = staging(raw, points, profile.most_values <= VALUES_PER_TASK)
-    dw = star(spark, stg, profile.first_day, as_of, keep)
-    return {**stg, **dw, **report_tables(dw)}
+    if state is not None:  # the daily sources are read by their own files
+        raw = replace(raw, **{n: empty_table(spark, s) for n, s in (("grid", schemas.GRID), ("observation", schemas.OBSERVATION))})
+    rejected = {}
+    if limit is not None:
+        raw, rejected["stg.rejected"] = staging_plan.checked(raw, date(as_of.year, 12, 31), limit)
+    if state is not None:
+        kept = DailyState.at(spark, landing, state, json_lines)
+        kept.refresh()
+        points = keep(kept.points(), "stg.grid_points")
+        stg = staging(raw, points) | {"stg.precipitation_daily": kept.daily(raw.point_seed)}
+        first_day = stg["stg.precipitation_daily"].agg(F.min("obs_date")).first()[0]
+    else:
+        points = keep(staging_plan.grid_points(raw.grid), "stg.grid_points")
+        profile = staging_plan.series_profile(raw, points).first()
+        first_day = profile.first_day
+        stg = staging(raw, points, profile.most_values <= VALUES_PER_TASK)
+    dw = star(spark, stg, first_day, as_of, keep)
+    return {**stg, **rejected, **dw, **report_tables(dw)}
 
 
 def publish(spark: SparkSession, tables: Tables, layers: Iterable[str] = ("dw", "rpt")) -> None:
