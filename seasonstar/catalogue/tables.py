@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from seasonstar.catalogue.base import areas, daily_orders, frozen_days, levels, table
 from seasonstar.catalogue.registry import query
 from seasonstar.catalogue.sql_parts import with_parts
+from seasonstar.functions.exact import rounded_total
 from seasonstar.functions.numeric import exact_sum, from_units, sum_of_means, to_units
 from seasonstar.operators import quality
 from seasonstar.operators.dims import area_dim, surrogate_key as number_rows
@@ -311,3 +312,14 @@ def dq_gaps(spark, sf):
 def quality_report(spark, sf):
     days = frozen_days(spark, sf)
     return quality.quality_report(days, ["station"], {"n_orders": (1, 3)}, "obs_date", 1, date(2000, 12, 31))
+
+
+@query(
+    """SELECT l_suppkey, l_linenumber,
+              round(CAST(sum(CAST(l_extendedprice / 3 * 1099511627776.0 AS HUGEINT)) AS DOUBLE) / 1099511627776.0, 4) AS total
+       FROM lineitem GROUP BY l_suppkey, l_linenumber"""
+)
+def exact_sums(spark, sf):
+    """Thirds of prices added exactly and rounded once; no digits are given for the values."""
+    lines = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_linenumber")
+    return lines.agg(rounded_total(F.col("l_extendedprice") / 3, 4).alias("total"))
