@@ -15,6 +15,7 @@ from seasonstar.functions.numeric import exact_sum, from_units, sum_of_means, to
 from seasonstar.operators import quality
 from seasonstar.operators.dims import area_dim, surrogate_key as number_rows
 from seasonstar.operators.joins import keep_all, lookup
+from seasonstar.operators.ranks import rank_in_parts
 from seasonstar.operators.serve import freshness_meta as freshness
 from seasonstar.operators.staging import dedup_latest as latest, prefer_source
 from seasonstar.sources.incremental import pending_partitions, period_end, upsert_latest as upsert, wanted_periods
@@ -323,3 +324,17 @@ def exact_sums(spark, sf):
     """Thirds of prices added exactly and rounded once; no digits are given for the values."""
     lines = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_linenumber")
     return lines.agg(rounded_total(F.col("l_extendedprice") / 3, 4).alias("total"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_linestatus,
+              rank() OVER (PARTITION BY l_linestatus ORDER BY l_extendedprice DESC) AS price_rank,
+              dense_rank() OVER (ORDER BY l_quantity) AS quantity_rank
+       FROM lineitem"""
+)
+def huge_group_ranks(spark, sf):
+    """Ranks in groups that hold a half or all of the lines, made in parts."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_extendedprice", "l_quantity")
+    ranked = rank_in_parts(lines, ["l_linestatus"], "l_extendedprice", "price_rank")
+    ranked = rank_in_parts(ranked, [], "l_quantity", "quantity_rank", descending=False, dense=True)
+    return ranked.drop("l_extendedprice", "l_quantity")
