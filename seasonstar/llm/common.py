@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of the table is called so."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """The words of a text, as an array; a null or blank text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")

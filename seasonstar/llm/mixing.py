@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonstar.llm.common import WORD, store
+from seasonstar.llm.common import WORD, fresh, store
 
 #: Virtual time is cut into so many buckets a unit; all targets are served at time 1.
 BUCKETS = 2048
@@ -140,13 +140,14 @@ def apply_mix(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """
     by_text = "text_hash" in decisions.columns
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    marked = docs.withColumn("_mark", F.xxhash64("text") if by_text else size)
+    mark = F.xxhash64("text") if by_text else size
     times = F.floor(F.col("taken") / F.col("size")).cast("int")
-    key = F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash" if by_text else "size").alias("_of")
-    times = decisions.filter("taken > 0").groupBy(*key).agg(F.max(times).alias("_times"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_mark") == F.col("_of"))
-    out = marked.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return out.select(*(marked[c] for c in docs.columns))
+    ids, sources, marks, n, copy = fresh(docs, "of_id", "of_source", "of_mark", "times", "copy")
+    key = F.col("doc_id").alias(ids), F.col("source").alias(sources), F.col("text_hash" if by_text else "size").alias(marks)
+    times = decisions.filter("taken > 0").groupBy(*key).agg(F.max(times).alias(n))
+    same = docs["doc_id"].eqNullSafe(times[ids]) & docs["source"].eqNullSafe(times[sources]) & (mark == times[marks])
+    out = docs.join(times, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
+    return out.select(*docs.columns)
 
 
 #: The same mix as one SQL statement.
