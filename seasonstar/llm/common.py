@@ -44,13 +44,13 @@ def store(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that a slice holds about `SLICE_BYTES` of text, or one row."""
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a slice holds about `limit` bytes of text, or one row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, size in enumerate(sizes):
-            if total and total + size > SLICE_BYTES:
+            if total and total + size > limit:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += int(size)

@@ -8,18 +8,26 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain, repeat
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct units and distinct pre-tokens that a worker keeps.
+#: Distinct units and distinct pre-tokens that a worker keeps between slices, their bytes, and the bytes of a long one.
 KEPT_UNITS = 200_000
-KEPT_PIECES = 150_000
+KEPT_PIECES = 400_000
+KEPT_BYTES = 16_000_000
+LONG = 256
+#: Text bytes that are encoded at once: the more, the fewer units are new to a slice.
+ENCODED_BYTES = 8_000_000
+#: Pre-tokens whose tokens are library objects at once.
+_TOKENIZED = 20_000
 
 _TWO_WHITE = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_ID = attrgetter("id")
 _workers: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -66,67 +74,64 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def joined(strings: pa.Array) -> str:
+    """The strings in a row, with a null character between."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings), "\0")[0].as_py()
+
+
 class Store:
-    """Numbered keys with the values of each: a bounded dictionary whose lookups give arrays."""
+    """Numbered strings with the values of each, bounded, as Arrow and numpy arrays.
+
+    The strings asked for are coded together with the strings held, so a string becomes a Python object only when it is
+    new. Past the limit of strings, of their bytes or of values, the less used half goes, and all long strings.
+    """
 
     def __init__(self, limit: int):
         self.limit = limit
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict = {}
+        self.keys = pa.array([], pa.string())
         self.flat = np.empty(1 << 16, np.uint32)
-        self.start, self.count, self.used = (np.zeros(1 << 14, np.int64) for _ in range(3))
+        self.start, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
         self.filled = 0
 
-    def numbers(self, keys: list) -> np.ndarray:
-        """The number of each key, -1 for a key not held."""
-        return np.fromiter(map(self.index.get, keys, repeat(-1)), np.int64, len(keys))
-
     def values(self, which: np.ndarray) -> np.ndarray:
         lengths = self.count[which]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(self.start[which] - ends + lengths, lengths) + np.arange(total)]
 
-    def add(self, keys: list, values: np.ndarray, lengths: np.ndarray) -> None:
-        first, n = len(self.index), len(keys)
+    def add(self, keys: pa.Array, values: np.ndarray, lengths: np.ndarray, used: np.ndarray | None = None) -> None:
         while self.filled + len(values) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while first + n > len(self.start):
-            self.start, self.count, self.used = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count, self.used)
-            )
         self.flat[self.filled : self.filled + len(values)] = values
-        self.start[first : first + n] = self.filled + np.cumsum(lengths) - lengths
-        self.count[first : first + n] = lengths
-        self.used[first : first + n] = 0
-        self.index.update(zip(keys, range(first, first + n)))
+        self.start = np.concatenate([self.start, self.filled + np.cumsum(lengths) - lengths])
+        self.count = np.concatenate([self.count, lengths])
+        self.used = np.concatenate([self.used, np.zeros(len(keys), np.int64) if used is None else used])
+        self.keys = pa.concat_arrays([self.keys, keys])
         self.filled += len(values)
 
-    def look_up(self, keys: list, learn) -> np.ndarray:
-        """The numbers of the keys; `learn(new keys)` gives the values and lengths of keys not held yet."""
-        if len(self.index) > self.limit:
+    def look_up(self, keys: pa.Array, learn) -> np.ndarray:
+        """The numbers of the keys; `learn(distinct new keys)` gives the values and lengths of keys not held yet."""
+        if len(self.keys) > self.limit or self.keys.nbytes > KEPT_BYTES or self.filled > KEPT_BYTES:
             self._forget()
-        which = self.numbers(keys)
-        missing = np.flatnonzero(which < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys([keys[i] for i in missing]))
+        held = len(self.keys)
+        coded = pa.concat_arrays([self.keys, keys]).dictionary_encode()
+        which = coded.indices.to_numpy()[held:]
+        new = coded.dictionary[held:]
+        if len(new):
             self.add(new, *learn(new))
-            which[missing] = self.numbers([keys[i] for i in missing])
-        self.used[: len(self.index)] += np.bincount(which, minlength=len(self.index))
+        self.used += np.bincount(which, minlength=len(self.keys))
         return which
 
     def _forget(self) -> None:
-        """Keep the keys used more than the median key."""
-        used = self.used[: len(self.index)]
-        keep = used > np.median(used)
+        """Keep the keys used more than the median key and no longer than `LONG`."""
+        keep = (self.used > np.median(self.used)) & (pc.binary_length(self.keys).to_numpy() <= LONG)
         which = np.flatnonzero(keep)
-        keys = [k for k, kept in zip(self.index, keep.tolist()) if kept]
-        values, lengths, counts = self.values(which), self.count[which], used[keep]
+        kept = self.keys.filter(pa.array(keep)), self.values(which), self.count[which], self.used[which]
         self._clear()
-        self.add(keys, values, lengths)
-        self.used[: len(keys)] = counts
+        self.add(*kept)
 
 
 class Encoder:
@@ -142,34 +147,36 @@ class Encoder:
         self.letters = byte_letters()
         self.units, self.known = Store(KEPT_UNITS), Store(KEPT_PIECES)
 
-    def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _piece_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens, by the library's merges."""
-        written = "\0".join(pieces).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
-        tokenize = self.tokenizer.model.tokenize
-        ids = [[t.id for t in tokenize(w)] for w in written]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
-
-    def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joined = "\0".join(units)
+        written = joined(pieces).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+        ids, lengths = [], []
+        for i in range(0, len(written), _TOKENIZED):
+            tokens = list(map(self.tokenizer.model.tokenize, written[i : i + _TOKENIZED]))
+            lengths.append(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+            ids.append(np.fromiter(map(_ID, chain.from_iterable(tokens)), np.uint32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _unit_ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole = joined(units)
         usual = np.ones(len(units), bool)
         lengths = np.zeros(len(units), np.int64)
-        strange = joined.count("\0") != len(units) - 1 or "\0\0" in joined or joined[:1] == "\0"
-        if strange or self.odd.search(joined) or any(x in joined for x in self.special):
-            odd = [not t or "\0" in t or bool(self.odd.search(t)) or any(x in t for x in self.special) for t in units]
+        strange = whole.count("\0") != len(units) - 1 or "\0\0" in whole or whole[:1] == "\0" or whole[-1:] in ("", "\0")
+        if strange or self.odd.search(whole) or any(x in whole for x in self.special):
+            texts = units.to_pylist()
+            odd = [not t or "\0" in t or bool(self.odd.search(t)) or any(x in t for x in self.special) for t in texts]
             usual = ~np.array(odd)
-            joined = "\0".join([t for t, o in zip(units, odd) if not o])
-        pieces = self.pieces.findall(self.fold(joined))
-        borders = np.fromiter((p == "\0" for p in pieces), bool, len(pieces))
-        inner = [p for p in pieces if p != "\0"]
-        which = self.known.look_up(inner, self._piece_ids)
+            whole = "\0".join([t for t, o in zip(texts, odd) if not o])
+        pieces = pa.array(self.pieces.findall(self.fold(whole)), pa.string())
+        borders = pc.equal(pieces, "\0").to_numpy(zero_copy_only=False)
+        which = self.known.look_up(pieces.filter(pa.array(~borders)), self._piece_ids)
         ids = self.known.values(which)
         owner = np.cumsum(borders)[~borders]
         n = int(usual.sum())
         lengths[usual] = np.bincount(owner, self.known.count[which], minlength=n).astype(np.int64)[:n]
         if usual.all():
             return ids, lengths
-        others = [self.tokenizer.encode(t, add_special_tokens=False).ids for t, o in zip(units, odd) if o]
+        others = [self.tokenizer.encode(t, add_special_tokens=False).ids for t, o in zip(texts, odd) if o]
         lengths[~usual] = [len(x) for x in others]
         out = np.empty(int(lengths.sum()), np.uint32)
         mine = np.repeat(usual, lengths)
@@ -185,10 +192,8 @@ class Encoder:
 
 
 def numbered(units: pa.ListArray, known: Store, learn) -> tuple[np.ndarray, np.ndarray]:
-    """The store's numbers of all units in a row, and how many each text has. Each distinct unit is looked up once."""
-    flat = units.flatten().dictionary_encode()
-    which = known.look_up(flat.dictionary.to_pylist(), learn)
-    return which[flat.indices.to_numpy()], pc.list_value_length(units).to_numpy().astype(np.int64)
+    """The store's numbers of all units in a row, and how many each text has."""
+    return known.look_up(units.flatten(), learn), pc.list_value_length(units).to_numpy().astype(np.int64)
 
 
 def encoder(path: str, kind: str) -> Encoder:

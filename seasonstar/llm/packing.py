@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from seasonstar.llm.common import text_slices
-from seasonstar.llm.encoding import closed_ids, encoder
+from seasonstar.llm.encoding import ENCODED_BYTES, closed_ids, encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -90,7 +90,7 @@ def pack_batches(batches: Iterable[pa.RecordBatch], path: str, units: str, size:
         rows.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW)], schema=_ARROW)
 
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=ENCODED_BYTES):
         ids, ends = closed_ids(enc, batch.column("text").to_pylist(), end_id)
         data, first = ids.astype("<u4").tobytes(), 0
         for doc, end in zip(batch.column("doc_id").to_pylist(), ends.tolist()):

@@ -89,8 +89,8 @@ class Counter:
     def __init__(self, path: str):
         self.trie, self.ends = Trie(piece_costs(path)), Store(KEPT_UNITS)
 
-    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        counts = [self.trie.count(SPACE + w) if w else 0 for w in words]
+    def learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        counts = [self.trie.count(SPACE + w) if w else 0 for w in words.to_pylist()]
         return np.array(counts, np.uint32), np.ones(len(words), np.int64)
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from seasonstar.llm.ans import Table, decode_block, encode_block, scaled
 from seasonstar.llm.common import store, text_slices
-from seasonstar.llm.encoding import closed_ids, encoder
+from seasonstar.llm.encoding import ENCODED_BYTES, closed_ids, encoder
 from seasonstar.sources.scratch import scratch_path
 
 #: Ids after which a block is closed at the next end of a document.
@@ -41,7 +41,7 @@ def encode_ids(docs: DataFrame, path: str, units: str, end_id: int) -> DataFrame
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seq, before = encoder(path, units), TaskContext.get().partitionId(), 0, 0
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=ENCODED_BYTES):
             ids, ends = closed_ids(enc, batch.column("text").to_pylist(), end_id)
             data, starts = ids.astype(wide).tobytes(), np.concatenate([[0], ends[:-1]])
             size = np.dtype(wide).itemsize
