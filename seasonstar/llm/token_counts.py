@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 from math import log
 
@@ -18,8 +19,10 @@ SPACE = "▁"
 #: Costs are whole millionths, so that sums are exact in any order. A byte outside the vocabulary costs so much.
 UNIT = 1_000_000
 BYTE_COST = 20 * UNIT
-#: Nodes after which the trie starts anew; counts already stored stay.
+#: Nodes after which the trie starts anew; counts already stored stay. What a word has beyond its first characters gets no
+#: nodes: its scores go on from the last of them in a window as long as the longest piece.
 MAX_NODES = 250_000
+DEEPEST = 200
 
 _COUNTS = "doc_id long, n_words long, n_tokens long"
 _workers: dict[str, "Counter"] = {}
@@ -52,35 +55,42 @@ class Trie:
 
     def clear(self) -> None:
         self.next: list[dict[str, int]] = [{}]
-        self.cost, self.tokens = [0], [0]
+        self.way: list[tuple[int, int]] = [(0, 0)]
 
     def count(self, word: str) -> int:
         """Tokens of a word; the word is inserted."""
-        if len(self.cost) > MAX_NODES:
+        if len(self.way) > MAX_NODES:
             self.clear()
-        node, path = 0, [0]
-        step, cost, tokens = self.next, self.cost, self.tokens
-        for end, letter in enumerate(word, 1):
-            below = step[node].get(letter)
+        node, ways = 0, [self.way[0]]
+        for end, letter in enumerate(word[:DEEPEST], 1):
+            below = self.next[node].get(letter)
             if below is None:
-                below = len(cost)
-                step[node][letter] = below
-                step.append({})
-                best, number = None, 0
-                for start in range(max(0, end - self.longest), end):
-                    piece = self.costs.get(word[start:end])
-                    if piece is not None and (best is None or cost[path[start]] + piece < best):
-                        best, number = cost[path[start]] + piece, tokens[path[start]] + 1
-                if letter not in self.costs:
-                    raw = len(letter.encode("utf-8", "surrogatepass"))
-                    spelled = cost[node] + raw * BYTE_COST
-                    if best is None or spelled < best:
-                        best, number = spelled, tokens[node] + raw
-                cost.append(best)
-                tokens.append(number)
+                below = len(self.way)
+                self.next[node][letter] = below
+                self.next.append({})
+                self.way.append(self._cheapest(word, end, ways))
             node = below
-            path.append(node)
-        return tokens[node]
+            ways.append(self.way[node])
+        if len(word) > DEEPEST:
+            ways = deque(ways, self.longest)
+            for end in range(DEEPEST + 1, len(word) + 1):
+                ways.append(self._cheapest(word, end, ways))
+        return ways[-1][1]
+
+    def _cheapest(self, word: str, end: int, ways) -> tuple[int, int]:
+        """Cost and tokens of the cheapest way to cut the first `end` characters; `ways` are those of the starts before."""
+        best = None
+        for back in range(min(end, self.longest), 0, -1):
+            piece = self.costs.get(word[end - back : end])
+            if piece is not None and (best is None or ways[-back][0] + piece < best[0]):
+                best = ways[-back][0] + piece, ways[-back][1] + 1
+        letter = word[end - 1]
+        if letter not in self.costs:
+            raw = len(letter.encode("utf-8", "surrogatepass"))
+            spelled = ways[-1][0] + raw * BYTE_COST
+            if best is None or spelled < best[0]:
+                best = spelled, ways[-1][1] + raw
+        return best
 
 
 class Counter:
@@ -112,8 +122,8 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
 
     A text is cut at ASCII white space; a word with the mark for the space before it is cut into the cheapest pieces of the
     vocabulary, characters outside it into bytes. Each worker inserts the distinct words of what it reads into a trie,
-    and keeps their counts in a bounded store, so nothing is shuffled and memory is bounded; a word that is
-    met again after it left the store is counted again, with the same result.
+    and keeps their counts in a bounded store, so nothing is shuffled and memory is bounded, also for a text that is one
+    word of millions of characters; a word that is met again after it left the store is counted again, with the same result.
 
     `docs` needs `doc_id` and `text`; other columns are ignored. Null, empty and blank texts have 0 words and tokens;
     each row, repeated or with a null id, is a row of the result.

@@ -9,6 +9,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -316,6 +318,28 @@ def test_trie_starts_anew_when_full(monkeypatch):
     monkeypatch.setattr(token_counts, "MAX_NODES", 20)
     small = token_counts.Trie(costs)
     assert [small.count(w) for w in words] == want
+    monkeypatch.setattr(token_counts, "DEEPEST", 3)
+    short = token_counts.Trie(costs)
+    assert [short.count(w) for w in words] == want
+
+
+def test_huge_words_get_few_nodes():
+    trie = token_counts.Trie({"a": 3, "b": 4, "ab": 5, "bab": 6})
+    assert trie.count("ab" * 100_000) == 100_000
+    assert trie.count("ab" * 100_000 + "é") == 100_002
+    assert len(trie.way) <= token_counts.DEEPEST + 1
+
+
+def test_store_forgets_long_strings(monkeypatch):
+    monkeypatch.setattr(encoding, "KEPT_BYTES", 3_000)
+    held = encoding.Store(1_000)
+
+    def learn(keys):
+        return pc.binary_length(keys).to_numpy().astype(np.uint32), np.ones(len(keys), np.int64)
+
+    for keys in (["a", "bb", "a", "x" * 5_000], ["a", "ccc", "", "x" * 5_000, "a"], ["x" * 5_000, "bb", "a"]):
+        assert held.values(held.look_up(pa.array(keys), learn)).tolist() == list(map(len, keys))
+        assert held.keys.nbytes < 6_000
 
 
 # passages
