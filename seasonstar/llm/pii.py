@@ -26,13 +26,23 @@ TOKEN_CHARS, TOKEN_DIGITS = 7, 3
 #: Characters on either side that contexts are taken from.
 CONTEXT_CHARS = 64
 #: Lexical patterns: the last word before with what follows it, the last two words, the first word after.
-CONTEXTS = {
-    "L1": r"([\p{L}\p{N}_]+[^\p{L}\p{N}_]*)$",
-    "L2": r"([\p{L}\p{N}_]+[^\p{L}\p{N}_]+[\p{L}\p{N}_]+[^\p{L}\p{N}_]*)$",
-    "R1": r"^([^\p{L}\p{N}_]*[\p{L}\p{N}_]+)",
+_IN, _OUT = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+CONTEXTS = {"L1": f"({_IN}+{_OUT}*)$", "L2": f"({_IN}+{_OUT}+{_IN}+{_OUT}*)$", "R1": f"^({_OUT}*{_IN}+)"}
+#: The same at every word of a text, whatever stands beside it.
+EVERYWHERE = {
+    "L1": f"({_IN}++{_OUT}*+)",
+    "L2": f"(?<!{_IN})(?=({_IN}++{_OUT}++{_IN}++{_OUT}*+)){_IN}++",
+    "R1": f"({_OUT}++{_IN}++)",
 }
+#: Names with which an identifier is told, before a sign of assignment. What they introduce is a seed entity, as the fixed kinds are.
+LABELS = (
+    "account", "api_key", "customer_id", "iban", "key", "license", "passport", "password", "secret", "ssn", "tax_id", "token", "user_id",
+)
+LABELLED = rf"(?:^|[^a-z_])(?:{'|'.join(LABELS)})\s?[:=#]\s?[\x22\x27]?$"
+#: Confidences and scores are whole millionths, so that sums are exact in any order.
+UNIT = 1_000_000
 #: Rounds of scoring, different known instances that a pattern needs, and the least score of a pattern that discovers.
-ROUNDS, MIN_INSTANCES, MIN_SCORE = 3, 5, 0.8
+ROUNDS, MIN_INSTANCES, MIN_SCORE = 3, 5, 800_000
 
 SPAN = "struct<start:int,kind_no:int,stop:int,value:string>"
 
@@ -104,11 +114,13 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind_no"]), s["start"], s["stop"])), ",")
 
 
-def _mentions(text: Column) -> Column:
-    """Each base span and each other identifier of a text, with the lexical patterns around it, as an array.
+def _plain(text: Column) -> Column:
+    """Lower case, one space for white space, 0 for each digit: numbers around a mention do not make contexts unique."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"\s+", " "), "[0-9]", "0")
 
-    Case is dropped and digits count as 0 in patterns, so that numbers around a mention do not make contexts unique.
-    """
+
+def _mentions(text: Column) -> Column:
+    """Each base span and each other identifier of a text, with the lexical patterns around it, as an array."""
     tokens = F.filter(
         _matches(text, TOKEN, len(KINDS)),
         lambda t: (F.length(t["value"]) >= TOKEN_CHARS)
@@ -116,46 +128,63 @@ def _mentions(text: Column) -> Column:
         & ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])),
     )
 
-    def plain(side: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(F.lower(side), r"\s+", " "), "[0-9]", "0")
-
     def mention(m: Column) -> Column:
         room = F.least(m["start"], F.lit(CONTEXT_CHARS))
         sides = {"L": F.substring(text, m["start"] - room + 1, room), "R": F.substring(text, m["stop"] + 1, F.lit(CONTEXT_CHARS))}
         contexts = [
-            F.concat(F.lit(f"{name} "), F.nullif(F.regexp_extract(plain(sides[name[0]]), regex, 1), F.lit("")))
+            F.concat(F.lit(f"{name} "), F.nullif(F.regexp_extract(_plain(sides[name[0]]), regex, 1), F.lit("")))
             for name, regex in CONTEXTS.items()
         ]
+        fixed = m["kind_no"] < len(KINDS)
         return F.struct(
-            m["start"].alias("start"), m["stop"].alias("stop"), F.lower(m["value"]).alias("instance"),
-            (m["kind_no"] < len(KINDS)).alias("seed"), F.array_compact(F.array(*contexts)).alias("patterns"),
+            m["start"].alias("start"), m["stop"].alias("stop"), F.lower(m["value"]).alias("instance"), fixed.alias("fixed"),
+            (fixed | _plain(sides["L"]).rlike(LABELLED)).alias("seed"), F.array_compact(F.array(*contexts)).alias("patterns"),
         )
 
     return F.transform(F.concat("base", tokens), mention)
 
 
-def patterns(mentions: DataFrame) -> DataFrame:
+def occurrences(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """pattern, total: how often each wanted pattern stands in the texts, whatever it stands beside."""
+    def every(name: str) -> DataFrame:
+        context = F.explode(F.regexp_extract_all(_plain(F.col("text")), F.lit(EVERYWHERE[name]), F.lit(1)))
+        short = texts.select(context.alias("context")).filter(F.length("context") <= CONTEXT_CHARS)
+        return short.select(F.concat(F.lit(f"{name} "), "context").alias("pattern"))
+
+    l1, l2, r1 = map(every, EVERYWHERE)
+    return l1.unionAll(l2).unionAll(r1).join(wanted, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
+
+
+def patterns(mentions: DataFrame, texts: DataFrame) -> DataFrame:
     """High-confidence patterns: pattern, score.
 
-    Patterns and instances form a graph with an edge where an instance stands in a pattern. Known entities start at
-    confidence 1, all others at 0. In each round a pattern scores the mean confidence of its different instances (one
-    unknown instance added, so that few count for less), and an unknown instance gets the chance that one of its
+    Patterns and instances form a graph with an edge where an instance stands in a pattern. Seed entities start at
+    full confidence, all others at none. In each round a pattern scores the confidence of what stands in it over all its
+    places in the texts, words that are no identifiers included (one unknown place added, so that few count for less):
+    a frequent word before a few seeds discovers nothing. An unknown instance gets the chance that one of its
     high-scoring patterns is right. The graph is one row per pair, whatever the number of copies; scores are joined
     in, and Spark splits the edges of a frequent pattern.
     """
     edges = mentions.select(F.explode("patterns").alias("pattern"), "instance", "seed")
-    edges = store(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    seeds = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("confidence"))
-    instances = store(seeds, "instances")
+    edges = store(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "edges")
+    met = edges.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("n").alias("mentions"))
+    met = store(met.filter(F.col("instances") >= MIN_INSTANCES).drop("instances"), "met")
+    places = met.join(occurrences(texts, met.select("pattern")), "pattern", "left")
+    places = store(places.select("pattern", F.greatest("mentions", F.coalesce("total", F.lit(0))).alias("total")), "places")
+    instances = store(
+        edges.groupBy("instance").agg(F.when(F.max("seed"), UNIT).otherwise(0).cast("long").alias("confidence")), "instances"
+    )
     scored = None
     for _ in range(ROUNDS):
-        belief = edges.drop("seed").join(instances, "instance")
-        score = F.sum("confidence") / (F.count("*") + 1)
-        scored = belief.groupBy("pattern").agg(score.alias("score"), F.sum("confidence").alias("known"))
-        scored = store(scored.filter((F.col("known") >= MIN_INSTANCES) & (F.col("score") >= MIN_SCORE)).drop("known"), "patterns")
-        doubt = F.exp(F.sum(F.log(1 - F.col("score"))))
-        held = edges.join(scored, "pattern").groupBy("instance").agg((1 - doubt).alias("_chance"))
-        confidence = F.when(F.col("confidence") == 1, F.lit(1.0)).otherwise(F.coalesce("_chance", F.lit(0.0)))
+        belief = edges.join(instances, "instance").groupBy("pattern")
+        belief = belief.agg(F.sum(F.col("confidence") * F.col("n")).alias("held"), F.sum("confidence").alias("known"))
+        belief = belief.filter(F.col("known") >= MIN_INSTANCES * UNIT).join(places, "pattern")
+        scored = belief.selectExpr("pattern", "held div (total + 1) as score").filter(F.col("score") >= MIN_SCORE)
+        scored = store(scored, "patterns")
+        doubt = F.sum(F.round(F.log(1 - F.col("score") / UNIT) * UNIT).cast("long")) / UNIT
+        chance = F.round((1 - F.exp(doubt)) * UNIT).cast("long")
+        held = edges.join(scored, "pattern").groupBy("instance").agg(chance.alias("_chance"))
+        confidence = F.when(F.col("confidence") == UNIT, F.col("confidence")).otherwise(F.coalesce("_chance", F.lit(0)))
         instances = store(instances.join(held, "instance", "left").select("instance", confidence.alias("confidence")), "instances")
     return scored
 
@@ -164,7 +193,8 @@ def find(docs: DataFrame) -> DataFrame:
     """Personal data in each row: doc_id, text_hash, base, spans (arrays of start, kind_no, stop, value, sorted).
 
     `base` are the fixed kinds, by pattern and check; `spans` adds the identifiers that stand in a high-confidence
-    pattern learned over all documents and overlap no base span. Places are code points, the end exclusive.
+    pattern learned over all documents and overlap no base span. Seed entities are the base spans and what a name of
+    `LABELS` introduces; the latter are added only where a pattern holds, too. Places are code points, the end exclusive.
 
     `docs` needs `doc_id` and `text`; other columns are ignored. Null and empty texts have no spans, repeated rows get
     equal spans, a null doc_id is a document. No rows give no rows.
@@ -174,8 +204,8 @@ def find(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("base", base_spans(F.col("text")))
     rows = store(rows.withColumn("mentions", _mentions(F.col("text"))).drop("text"), "mentions")
     mentions = rows.select("doc_id", "text_hash", F.explode("mentions").alias("m")).select("doc_id", "text_hash", "m.*")
-    good = patterns(mentions)
-    unknown = mentions.filter(~F.col("seed")).withColumn("pattern", F.explode("patterns"))
+    good = patterns(mentions, docs.select(text.alias("text")))
+    unknown = mentions.filter(~F.col("fixed")).withColumn("pattern", F.explode("patterns"))
     span = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "stop", F.col("instance").alias("value"))
     more = unknown.join(good, "pattern").groupBy("doc_id", "text_hash").agg(F.collect_set(span).alias("more"))
     more = more.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "more")

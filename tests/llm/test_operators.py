@@ -586,3 +586,23 @@ def test_contexts_discover_identifiers_and_redact(spark):
     clean = {r["doc_id"]: r["t"] for r in joined.select("doc_id", pii.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
     assert clean[100] == "my contact is [ID] today" and clean[3] == "reach me, my contact is [EMAIL] today"
     assert clean[102] == "room 12 on floor 3"
+
+
+def test_contexts_add_unseen_kinds_and_spare_the_rest(spark):
+    rng = np.random.default_rng(3)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 30)) + "0a1b2c3d4e" for _ in range(60)]
+    rows = [(i, f'some words, token = "{h}" and more') for i, h in enumerate(hexes[:50])]
+    rows += [(100 + i, f"the badge of staff: N{7000000 + 13 * i}-{i % 7}, at the door") for i in range(40)]  # no seeds, no label
+    rows += [(200 + i, f"ask staff: person{i}@mail.example.com, at the desk") for i in range(200)]
+    rows += [(500 + i, f"the 41111111{i:08d} and the other the thing the end of the day") for i in range(60)]  # few pass Luhn
+    rows += [(600 + i, f"commit {h} of the tree") for i, h in enumerate(hexes[50:])] + [(700, None), (701, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    for rerun in (docs, docs.repartition(7)):
+        more = {
+            (r["doc_id"], texts[r["doc_id"]][s["start"] : s["stop"]])
+            for r in pii.find(rerun).collect() for s in r["spans"] if s["kind_no"] == len(pii.KINDS)
+        }
+        assert {x for x in more if x[0] < 100} == {(i, h) for i, h in enumerate(hexes[:50])}
+        assert {x[0] for x in more if 100 <= x[0] < 200} == set(range(100, 140))
+        assert not {x for x in more if x[0] >= 200}
