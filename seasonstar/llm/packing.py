@@ -128,8 +128,9 @@ def pack(docs: DataFrame, path: str, units: str = "spaced", size: int = 1024, en
     A document is its ids and the end id. Its whole sequences are cut off first; what remains, less than a sequence,
     is one item of the sum-of-squares rule (`Packer`). The few sequences still open at the end of a task are joined
     end to end, and the last of them is cut into powers of two, so nothing is padded. Each task packs the documents
-    it reads: nothing is shuffled, and memory holds the open tails only, whose number grows far slower than the
-    documents (a sum-of-squares packer keeps few open levels).
+    it reads: nothing is shuffled, and memory holds the open tails only. Tails of varied lengths keep few sequences open;
+    tails that are all of one length over half a sequence, as in a large group of copies, stay open each, so
+    the bound is the task's input.
 
     `docs` needs `doc_id` and `text`; other columns are ignored. A null text is empty and has the end id alone. A null
     or repeated `doc_id` is kept as it is, each row a document. No rows give no pieces. Sequence numbers are unique
