@@ -407,6 +407,53 @@ def test_passages_meet_behind_shortened_versions(spark):
     assert (found[0]["start"], found[0]["n_words"], found[0]["similarity"]) == (60, 60, 1.0)
 
 
+def test_texts_with_a_short_stretch_in_common_are_not_paired(spark, monkeypatch):
+    rng = np.random.default_rng(44)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    verify, counts = passages.verify, []
+
+    def counting(pairs, *args):
+        counts[-1] += pairs.select("a", "b").distinct().count()
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(passages, "verify", counting)
+    short = text(44)
+    for n in (150, 600):
+        counts.append(0)
+        rows = [(i, " ".join(text(70) + short + text(70)), "s") for i in range(n)]
+        assert rows_of(passages.near_duplicate_passages(frame(spark, rows))) == []
+    assert counts[0] <= 4 * 150 and counts[1] <= 4 * 600
+
+
+def test_recall_against_all_pairs(spark):
+    rng = np.random.default_rng(77)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    rows, chains, menu = [], [], text(30)
+    for i in range(60):  # the third resembles the second, but mostly not the first
+        n = int(rng.integers(52, 160))
+        p = text(n)
+        q = p[: n // 3] + text(1) + p[n // 3 + 1 :]
+        r = q[: n // 2] + text(1) + q[n // 2 + 1 :]
+        chains.append([len(rows) + k for k in range(3)])
+        rows += [(len(rows) + k, " ".join(text(60) + menu + text(20) + x + text(60)), "s") for k, x in enumerate((p, q, r))]
+    sequences = [passages.shingles(np.array([xxhash.xxh64_intdigest(w) for w in t.split()], np.uint64)) for _, t, _ in rows]
+    similar = {(a, b) for c in chains for a in c for b in c if a < b and passages.common_passages(sequences[a], sequences[b])}
+    found = passages.near_duplicate_passages(frame(spark, rows)).collect()
+    class_of = {i: i for i in range(len(rows))}
+    for r in found:
+        a, b = class_of[r["doc_id"]], class_of[r["of_doc_id"]]
+        class_of = {k: b if v == a else v for k, v in class_of.items()}
+    assert len(similar) > 100
+    assert sum(class_of[a] == class_of[b] for a, b in similar) >= 0.99 * len(similar)
+    assert {i // 3 for r in found for i in (r["doc_id"], r["of_doc_id"]) if r["doc_id"] // 3 != r["of_doc_id"] // 3} == set()
+
+
 def test_close_passages_that_lie_apart_in_the_other_text():
     rng = np.random.default_rng(31)
 
