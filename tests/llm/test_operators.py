@@ -454,6 +454,43 @@ def test_recall_against_all_pairs(spark):
     assert {i // 3 for r in found for i in (r["doc_id"], r["of_doc_id"]) if r["doc_id"] // 3 != r["of_doc_id"] // 3} == set()
 
 
+def test_crowded_groups_lose_no_link(spark):
+    rng = np.random.default_rng(64)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    def edited(t, places):
+        return [text(1)[0] if i in places else w for i, w in enumerate(t)]
+
+    rows, base = [], text(52)
+    for _ in range(150):  # pairs of versions, each too far from the other pairs, that share signatures with most of them
+        p = edited(base, set(rng.choice(52, 3, replace=False).tolist()))
+        for x in (p, edited(p, {int(rng.integers(20, 32))})):
+            rows.append((len(rows), " ".join(text(60) + x + text(60)), "s"))
+    sequences = [passages.shingles(np.array([xxhash.xxh64_intdigest(w, 42) for w in t.split()], np.uint64)) for _, t, _ in rows]
+    groups = collections.defaultdict(set)
+    for i, sh in enumerate(sequences):
+        for sig in passages.anchors(sh)[0].tolist():
+            groups[sig].add(i)
+    assert max(map(len, groups.values())) > 64
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    similar = {(a, b) for a, b in met if passages.common_passages(sequences[a], sequences[b])}
+    assert len(similar) > 100
+    class_of = list(range(len(rows)))
+    for r in passages.near_duplicate_passages(frame(spark, rows)).collect():
+        a, b = class_of[r["doc_id"]], class_of[r["of_doc_id"]]
+        class_of = [b if c == a else c for c in class_of]
+    assert [(a, b) for a, b in similar if class_of[a] != class_of[b]] == []
+
+
+def test_rest_pairs_join_all_classes_of_a_crowded_group(spark):
+    rows = [(7, k // 2, k, False) for k in range(200)] + [(8, 0, k, k < 3) for k in range(200)]
+    members = spark.createDataFrame(rows, "sig long, root long, key long, open boolean")
+    found = {(r["a"], r["b"]) for r in passages.rest_pairs(members).collect()}
+    assert found == {(a, b) for a in range(200) for b in range(a) if a // 2 != b // 2} | {(1, 0), (2, 0), (2, 1)}
+
+
 def test_close_passages_that_lie_apart_in_the_other_text():
     rng = np.random.default_rng(31)
 
