@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import pathlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -491,6 +493,31 @@ def test_rest_pairs_join_all_classes_of_a_crowded_group(spark):
     assert found == {(a, b) for a in range(200) for b in range(a) if a // 2 != b // 2} | {(1, 0), (2, 0), (2, 1)}
 
 
+def test_passages_leave_no_shuffle_files_of_stored_steps(spark):
+    rng = np.random.default_rng(12)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    env, key = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def files():
+        folders = env.blockManager().diskBlockManager().localDirsString()
+        return {str(p) for d in folders for p in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    shared = text(60)
+    docs = frame(spark, [(i, " ".join(text(60) + shared + text(60)), "s") for i in range(20)])
+    before, setting = files(), spark.conf.get(key, None)
+    found = passages.near_duplicate_passages(docs)  # runs all stored steps; files go in the background
+    for _ in range(100):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    assert found.select("doc_id").distinct().count() == 19
+
+
 def test_close_passages_that_lie_apart_in_the_other_text():
     rng = np.random.default_rng(31)
 
