@@ -430,6 +430,49 @@ def test_texts_with_a_short_stretch_in_common_are_not_paired(spark, monkeypatch)
     assert counts[0] <= 4 * 150 and counts[1] <= 4 * 600
 
 
+def test_classes_with_a_short_stretch_in_common_are_not_paired(spark, monkeypatch):
+    rng = np.random.default_rng(45)
+
+    def text(n):
+        return ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+
+    verify, counts = passages.verify, []
+
+    def counting(pairs, *args):
+        counts[-1] += pairs.select("a", "b").distinct().count()
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(passages, "verify", counting)
+    menu = text(30)
+    for n in (40, 160):  # two texts of a kind have a passage beside the menu that all texts have
+        counts.append(0)
+        passages_of_kinds = [text(60) for _ in range(n)]
+        rows = [(i, " ".join(text(60) + menu + text(3) + passages_of_kinds[i // 2] + text(60)), "s") for i in range(2 * n)]
+        found = passages.near_duplicate_passages(frame(spark, rows)).collect()
+        assert {frozenset((r["doc_id"], r["of_doc_id"])) for r in found} == {frozenset((2 * i, 2 * i + 1)) for i in range(n)}
+    assert counts[0] <= 8 * 40 and counts[1] <= 8 * 160
+
+
+def test_common_passages_are_the_same_by_places_and_by_codes():
+    rng = np.random.default_rng(46)
+
+    def text(n):
+        return rng.integers(1, 1 << 62, n).astype(np.uint64)
+
+    found = 0
+    for _ in range(400):
+        base = text(int(rng.integers(50, 160)))
+        a, b = base.copy(), np.concatenate([text(int(rng.integers(0, 40))), base[: int(rng.integers(30, 160))], text(20)])
+        for x in (a, b):
+            changed = rng.random(len(x)) < rng.choice([0, 0.05, 0.15])
+            x[changed] = text(int(changed.sum()))
+        both = passages._Repeating(a, b)
+        by_codes = passages.passages_of(both if both.possible else None, len(a), len(b))
+        assert passages.common_passages(a, b) == by_codes
+        found += bool(by_codes)
+    assert 100 < found < 300
+
+
 def test_recall_against_all_pairs(spark):
     rng = np.random.default_rng(77)
 
